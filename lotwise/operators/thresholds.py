@@ -18,7 +18,8 @@ from lotwise.settings import (
 
 
 def _place_statistics(entries: DataFrame, place: Sequence[str]) -> DataFrame:
-    """Spread, count and method over bidders above the floor, and the mean over all bidders.
+    """Places with a bidder above the floor: spread, count and method over such bidders, and the
+    mean over all bidders.
 
     One aggregation gives all four, combined map-side, so a place with very many bidders is never
     one task's window. Rates have two decimals, so they are summed as decimals: the mean does not
@@ -27,9 +28,7 @@ def _place_statistics(entries: DataFrame, place: Sequence[str]) -> DataFrame:
     above = F.col("top_bid_rate") > TOP_BID_RATE_FLOOR
     rate = F.when(above, F.col("top_bid_rate"))
     exact = F.col("top_bid_rate").cast("decimal(24,2)")
-    method = F.when(F.col("spread") > MAX_FIXED_SPREAD, VARIABLE).when(
-        F.col("spread").isNotNull(), FIXED
-    )
+    method = F.when(F.col("spread") > MAX_FIXED_SPREAD, VARIABLE).otherwise(FIXED)
     return (
         entries.groupBy(*place)
         .agg(
@@ -37,14 +36,14 @@ def _place_statistics(entries: DataFrame, place: Sequence[str]) -> DataFrame:
             F.count_distinct(F.when(above, F.col("bidder"))).alias("bidders_above"),
             (F.sum(exact).cast("double") / F.count(exact)).alias("mean_rate"),
         )
+        .filter(F.col("spread").isNotNull())
         .withColumn("method", method)
     )
 
 
 def threshold_method(entries: DataFrame, place: Sequence[str]) -> DataFrame:
     """Method of each place that has a bidder above the floor."""
-    above = entries.filter(F.col("top_bid_rate") > TOP_BID_RATE_FLOOR)
-    return _place_statistics(above, place).drop("mean_rate")
+    return _place_statistics(entries, place).drop("mean_rate")
 
 
 def thresholds(
@@ -63,7 +62,7 @@ def thresholds(
     return (
         entries.join(statistics, list(place), "left")
         .withColumn("thr", F.when(F.col("method") == VARIABLE, variable).otherwise(F.lit(5.0)))
-        .drop("mean_rate")
+        .drop("mean_rate", "bids", "top_bids")
     )
 
 
