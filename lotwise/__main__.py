@@ -1,4 +1,4 @@
-"""Run the job: ``spark-submit -m`` style entry, ``python -m lotwise --events ... --out ...``."""
+"""Run the job: ``python -m lotwise --events PATH --out FOLDER``."""
 
 from __future__ import annotations
 

@@ -36,7 +36,7 @@ def publish_rates(
     if rates_path:
         write_rates(rates, rates_path)
     path = f"{folder.rstrip('/')}/{request.filename}"
-    files = write_document(document_lines(leaves, overrides), path)
+    files = write_document(stage(document_lines(leaves, overrides), "lines"), path)
     log.info("wrote %s in %d file(s)", path, files)
     return path
 

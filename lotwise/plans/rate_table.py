@@ -39,13 +39,23 @@ def published_rates(levels: DataFrame, settings: Settings) -> DataFrame:
 def rate_table(events: DataFrame, settings: Settings) -> DataFrame:
     """The whole job on one scan of the events.
 
-    The rollup is written first, split by ``last_day``: country level reads it all, host level the
-    last day only, and neither touches the events again.
+    Two tables are written on the way. The rollup, split by ``last_day``: country level reads it
+    all, host level the last day only, and neither touches the events again. And the entries of
+    both levels, which the rest reads several times: they leave out hosts below the volume cut.
     """
     check_columns(events, settings)
     rollup = stage(base_rollup(counters(events, settings), settings), "rollup", "last_day")
-    treated = treated_entries(rollup, settings)
-    hosts = host_entries(rollup, settings, rolled_up=True)
+    entries = stage(
+        treated_entries(rollup, settings)
+        .select("*", F.lit(None).cast("string").alias("host"), F.lit("country").alias("level"))
+        .unionByName(
+            host_entries(rollup, settings, rolled_up=True).withColumn("level", F.lit("host"))
+        ),
+        "entries",
+        "level",
+    )
+    treated = entries.filter(F.col("level") == "country").drop("host", "level")
+    hosts = entries.filter(F.col("level") == "host").drop("level")
     return published_rates(rate_levels(treated, hosts, settings), settings)
 
 

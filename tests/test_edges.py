@@ -1,0 +1,257 @@
+"""Rules at their edges, one hand-made case each."""
+
+import duckdb
+import pytest
+
+from compare import canonical, duck_rows, spark_rows
+from events import days_ago, event, frame, load_duck, oracle, settings
+from lotwise.operators.counters import HOST_PLACE, PLACE, base_rollup, counters
+from lotwise.operators.entries import (
+    collapse_low_volume,
+    country_entries,
+    host_entries,
+    treated_entries,
+)
+from lotwise.operators.levels import drop_redundant_hosts
+from lotwise.operators.rates import country_rates, host_rates, refine_rates
+from lotwise.operators.thresholds import threshold_method, thresholds
+from lotwise.plans.rate_table import rate_table
+
+VARIANTS = ["basic", "refined"]
+
+
+def rates(spark, events, variant="basic", **changes):
+    """{(bidder, continent, country, host): filter}, checked against the SQL on the way."""
+    own = settings(variant, **changes)
+    con = duckdb.connect()
+    load_duck(con, events)
+    df = rate_table(frame(spark, events), own)
+    assert canonical(*spark_rows(df)) == canonical(*duck_rows(con, oracle(own).select("rates")))
+    return {tuple(r[:4]): r[4] for r in df.collect()}
+
+
+def country(spark, events, bidder="b1", name="FR", variant="basic"):
+    return rates(spark, events, variant)[(bidder, "EU", name, "default")]
+
+
+def test_no_bidder_above_the_floor_means_default_rate(spark):
+    assert country(spark, [event(top=500)]) == 0.05
+
+
+def test_top_bid_rate_of_exactly_five_is_enough(spark):
+    assert country(spark, [event(top=500), event(bidder="b2", top=600)]) == 1.0
+
+
+def test_top_bid_rate_equal_to_the_variable_threshold_is_enough(spark):
+    # Mean of 9, 21 and 0 is 10, so the threshold is 9.
+    events = [event(top=900), event(bidder="b2", top=2100), event(bidder="b3", top=0)]
+    found = rates(spark, events)
+    assert found[("b1", "EU", "FR", "default")] == 1.0
+    assert found[("b3", "EU", "FR", "default")] == 0.05
+
+
+@pytest.mark.parametrize(("high", "method"), [(1604, "fixed"), (1605, "variable"), (1600, "fixed")])
+def test_spread_is_rounded_before_it_is_compared(spark, high, method):
+    own = settings("basic")
+    rows = counters(frame(spark, [event(top=600), event(bidder="b2", top=high)]), own)
+    found = threshold_method(country_entries(rows, own), PLACE).first()
+    assert found.method == f"{method}_threshold"
+    assert found.bidders_above == 2
+
+
+def test_threshold_tie_rounds_up(spark):
+    # Mean 15 * 0.9 = 13.5, threshold 14.
+    own = settings("basic")
+    events = [event(top=800), event(bidder="b2", top=2200)]
+    rows = counters(frame(spark, events), own)
+    found = thresholds(country_entries(rows, own), PLACE, own).first()
+    assert found.thr == 14.0
+
+
+def test_exempt_country_is_zero_and_never_collapsed(spark):
+    events = [event(country="RU", requests=10, top=10), event(country="FR", requests=10)]
+    found = rates(spark, events)
+    assert found == {("b1", "EU", "RU", "default"): 0.0, ("b1", "EU", "default", "default"): 0.05}
+
+
+def test_low_volume_reads_the_long_window_only_for_groups_seen_today(spark):
+    own = settings("basic")
+    events = [
+        event(country="FR", requests=100, top=10),
+        event(country="FR", requests=900, top=490, at=days_ago(5)),
+        event(country="FR", requests=7000, at=days_ago(5, -1)),
+        event(country="DE", requests=300, at=days_ago(2)),
+    ]
+    rows = counters(frame(spark, events), own)
+    direct = collapse_low_volume(rows, country_entries(rows, own), own)
+    (row,) = direct.collect()
+    assert (row.country, row.volume, row.top_bid_rate) == ("default", 1000, 50.0)
+    assert treated_entries(base_rollup(rows, own), own).collect() == [row]
+
+
+@pytest.mark.parametrize("variant", VARIANTS)
+def test_volume_equal_to_the_cut(spark, variant):
+    own = settings(variant)
+    rows = counters(frame(spark, [event(host="x.com", requests=5000)]), own)
+    assert country_entries(rows, own).first().volume_class == "low"
+    assert host_entries(rows, own).count() == (1 if variant == "refined" else 0)
+    assert [k[2] for k in rates(spark, [event(host="x.com", requests=5000)], variant)] == ["default"]
+
+
+@pytest.mark.parametrize(("variant", "rate"), [("basic", 1.0), ("refined", 0.05)])
+def test_host_without_top_bid_rate_in_a_place_with_a_method(spark, variant, rate):
+    events = [
+        event(host="x.com", requests=10_000, top=None, error="500", offers=10_000),
+        event(bidder="b2", host="x.com", top=600),
+    ]
+    if variant == "refined":
+        events[0] = (*events[0][:7], None, *events[0][8:])
+    own = settings(variant)
+    rows = counters(frame(spark, events), own)
+    hosts = host_rates(thresholds(host_entries(rows, own), HOST_PLACE, own), own)
+    found = hosts.filter("bidder = 'b1'").first()
+    assert found.top_bid_rate is None and found.method == "fixed_threshold"
+    assert found.rate == rate
+
+
+def test_country_without_top_bid_rate_in_a_place_with_a_method(spark):
+    events = [event(error="500", top=900), event(bidder="b2", top=600)]
+    assert country(spark, events) == 1.0
+
+
+def test_idle_country_is_lowered_in_the_refined_variant_only(spark):
+    none = event(requests=None, offers=10_000)
+    events = [none, event(bidder="b2", top=600, revenue=1)]
+    assert country(spark, events, variant="refined") == 0.05
+
+
+def test_no_opportunities_leave_the_rate_unchanged(spark):
+    own = settings("refined")
+    rows = counters(frame(spark, [event(requests=9000, offers=0, bids=9000, revenue=5)]), own)
+    entry = country_entries(rows, own).first()
+    assert entry.rpr is None and entry.bid_rate is None
+    levels = spark.createDataFrame(
+        [("b1", None, None, 0.0, 0.05), ("b2", None, None, 0.0, 1.0)],
+        "bidder string, rpr double, bid_rate double, top_bid_rate double, rate double",
+    )
+    assert [r.refined_rate for r in refine_rates(levels, own).collect()] == [0.05, 1.0]
+
+
+def test_null_host_has_no_method_but_is_published_when_it_differs(spark):
+    events = [event(top=900), event(bidder="b2", top=950)]
+    found = rates(spark, events)
+    assert found[("b1", "EU", "FR", "default")] == 1.0
+    assert found[("b1", "EU", "FR", None)] == 0.05
+
+
+def test_null_counters_sum_to_zero(spark):
+    own = settings("basic")
+    entry = country_entries(
+        counters(frame(spark, [event(requests=None, bids=None, top=None)]), own), own
+    ).first()
+    assert (entry.bids, entry.volume, entry.top_bids, entry.top_bid_rate) == (0, 0, 0, None)
+
+
+def test_unknown_place_counts_for_hosts_only_and_is_dropped_at_the_end(spark):
+    own = settings("basic")
+    events = [event(country="nan", host="x.com", top=900), event()]
+    rows = counters(frame(spark, events), own)
+    assert country_entries(rows, own).count() == 1
+    assert host_entries(rows, own).filter("country = 'nan'").count() == 1
+    assert all(key[2] != "nan" for key in rates(spark, events))
+
+
+@pytest.mark.parametrize("error", ["404", ""])
+def test_other_errors_are_dropped(spark, error):
+    assert list(rates(spark, [event(error=error), event(bidder="b2")])) == [
+        ("b2", "EU", "FR", "default")
+    ]
+
+
+def test_raw_default_country_and_host_collide_as_in_the_sql(spark):
+    events = [
+        event(country="default", requests=9000, top=900, host="default"),
+        event(country="FR", requests=100, top=50),
+        event(country="DE", requests=9000, top=90, host="default"),
+        event(country="DE", requests=9000, top=3000, host="x.com"),
+    ]
+    for variant in VARIANTS:
+        rates(spark, events, variant)
+
+
+def test_no_event_in_the_window_gives_no_rows(spark):
+    assert rates(spark, [event(at=days_ago(0))]) == {}
+
+
+def refined_host(spark, **own):
+    """Rate of the exception bidder on a host where nobody is above the floor."""
+    preset = settings("refined")
+    rows = counters(frame(spark, [event(bidder="unrulyfsx", host="x.com", **own)]), preset)
+    hosts = thresholds(host_entries(rows, preset), HOST_PLACE, preset)
+    return host_rates(hosts, preset).first().rate
+
+
+def test_exception_bidder_edges_are_inclusive(spark):
+    # 0.01 per 10000 opportunities is an rpr of 0.001.
+    assert refined_host(spark, bids=500, revenue="0.01") == 1.0
+    assert refined_host(spark, bids=499, revenue="0.01") == 0.05
+    assert refined_host(spark, bids=500, revenue="0.0099") == 0.05
+
+
+@pytest.mark.parametrize(
+    ("bid_rate", "rpr", "top", "rate", "expected"),
+    [
+        (75.0, 0.002, 0.0, 0.05, 1.0),
+        (74.9, 0.002, 0.0, 0.05, 0.75),
+        (50.0, 0.002, 0.0, 0.05, 0.75),
+        (25.0, 0.002, 0.0, 0.05, 0.5),
+        (5.0, 0.002, 0.0, 0.05, 0.25),
+        (4.9, 0.002, 0.0, 0.05, 0.05),
+        (75.0, 0.001, 0.0, 0.05, 0.05),
+        (75.0, 0.0, 9.0, 1.0, 0.05),
+        (4.0, 0.0005, 4.0, 1.0, 0.05),
+        (5.0, 0.0005, 4.0, 1.0, 1.0),
+        (4.0, 0.0005, None, 1.0, 1.0),
+        (80.0, 0.5, 9.0, 0.0, 0.0),
+    ],
+)
+def test_refinement_bands(spark, bid_rate, rpr, top, rate, expected):
+    levels = spark.createDataFrame(
+        [(bid_rate, rpr, top, rate)],
+        "bid_rate double, rpr double, top_bid_rate double, rate double",
+    )
+    assert refine_rates(levels, settings("refined")).first().refined_rate == expected
+
+
+def test_hosts_equal_to_or_without_their_country_are_dropped(spark):
+    levels = spark.createDataFrame(
+        [
+            ("b1", "EU", "FR", "default", 1.0),
+            ("b1", "EU", "FR", "same.com", 1.0),
+            ("b1", "EU", "FR", "other.com", 0.05),
+            ("b1", "EU", "FR", None, 0.05),
+            ("b2", "EU", "FR", "orphan.com", 0.05),
+        ],
+        "bidder string, continent string, country string, host string, rate double",
+    )
+    kept = {r.host for r in drop_redundant_hosts(levels).collect()}
+    assert kept == {"default", "other.com", None}
+
+
+def test_exempt_countries_of_a_rule_follow_the_settings(spark):
+    own = settings("basic", exempt_countries=("FR", "DE"))
+    entries = country_entries(counters(frame(spark, [event(), event(country="RU")]), own), own)
+    found = country_rates(thresholds(entries, PLACE, own), own)
+    assert {r.country: r.rate for r in found.collect()} == {"FR": 0.0, "RU": 0.05}
+
+
+@pytest.mark.parametrize("variant", VARIANTS)
+def test_session_time_zone_does_not_matter(spark, variant):
+    events = [event(at=days_ago(1)), event(bidder="b2", at=days_ago(0)), event(bidder="b3", at=days_ago(1, -1))]
+    own = settings(variant)
+    df = frame(spark, events)
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert {r.bidder for r in rate_table(df, own).collect()} == {"b1"}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
