@@ -1,0 +1,131 @@
+"""What the plans must and must not contain, and results that must not depend on layout."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from events import days_ago, event, frame, settings
+from lotwise.operators.counters import base_rollup, counters
+from lotwise.operators.document import distinct_leaves, document_lines, fold_rates
+from lotwise.plans import rate_table as plans
+from lotwise.plans.rate_table import rate_table, rate_table_by_scans
+from lotwise.sources.staging import stage
+
+VARIANTS = ["basic", "refined"]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def formatted(df):
+    """Like ``plan_of`` but with whole schemas and filters."""
+    tools = df.sparkSession._jvm.org.apache.spark.sql.api.python.PythonSQLUtils
+    return tools.explainString(df._jdf.queryExecution(), "formatted")
+
+
+def final_plan(df):
+    """The adaptive plan after running it."""
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return text.split("== Initial Plan ==")[0]
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("stored") / "events")
+    events = [
+        event(f"b{n % 5}", host=f"h{n % 3}.com", top=n * 40, at=days_ago(1 + n % 7), bids=n, revenue=n)
+        for n in range(60)
+    ]
+    frame(spark, events).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.mark.parametrize("variant", VARIANTS)
+def test_the_scan_reads_needed_columns_and_pushes_filters(stored, variant):
+    own = settings(variant)
+    rollup = base_rollup(counters(stored, own), own)
+    plan = formatted(rollup)
+    (read,) = re.findall(r"ReadSchema: struct<(.*?)>", plan)
+    assert ("estimated_adjusted_revenue" in read) == (variant == "refined")
+    pushed = re.search(r"PushedFilters: \[(.*)", plan).group(1)
+    for part in ("GreaterThanOrEqual(record_date", "LessThan(record_date", "IsNotNull(bidder_id)"):
+        assert part in pushed
+    assert "EqualTo(error_code,500)" in pushed
+    assert plan_of(rollup).count("FileScan") == 1
+    assert plan_of(rollup).count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("variant", VARIANTS)
+def test_the_events_are_scanned_once(stored, variant, monkeypatch):
+    """Only the first of the plans that run reads the event files."""
+    ran = []
+    monkeypatch.setattr(plans, "stage", lambda df, *a: ran.append(df) or stage(df, *a))
+    ran.append(rate_table(stored, settings(variant)))
+    source = re.search(r"stored\d*/events", stored.inputFiles()[0]).group()
+    assert [formatted(df).count(source) for df in ran] == [1, 0, 0]
+
+
+@pytest.mark.parametrize("variant", VARIANTS)
+def test_no_cross_join_no_python_and_no_hint(stored, variant):
+    own = settings(variant)
+    rates = rate_table(stored, own)
+    for df in (rates, rate_table_by_scans(stored, own), fold_rates(rates), document_lines(distinct_leaves(rates))):
+        plan = plan_of(df)
+        for word in ("CartesianProduct", "BroadcastNestedLoop", "Python", "Pandas"):
+            assert word not in plan
+        assert "ResolvedHint" not in df._jdf.queryExecution().analyzed().toString()
+
+
+@pytest.mark.parametrize("variant", VARIANTS)
+def test_same_rates_without_broadcast_joins(spark, stored, variant):
+    """Beyond the broadcast threshold the same rows come from shuffled joins."""
+    own = settings(variant, min_requests=15_000)
+    expected = sorted(rate_table(stored, own).collect(), key=str)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = rate_table(stored, own)
+        plan = final_plan(df)
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+        assert sorted(df.collect(), key=str) == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_a_hot_key_is_combined_before_the_shuffle(spark, tmp_path):
+    """A third of the rows in one key leave each task as one row."""
+    rows = spark.range(0, 90_000, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("b"), F.col("id") % 40)).alias("bidder_id"),
+        F.lit("EU").alias("geo_continent"),
+        F.lit("FR").alias("geo_country"),
+        F.when(F.col("id") % 3 == 0, "hot.com").otherwise("cold.com").alias("host"),
+        F.lit(None).cast("string").alias("error_code"),
+        F.lit(days_ago(1)).alias("record_date"),
+        F.lit(1).cast("bigint").alias("bids"),
+        F.lit(2).cast("bigint").alias("bid_requests"),
+        F.lit(2).cast("bigint").alias("bid_opportunities"),
+        F.lit(1).cast("bigint").alias("total_top_bids"),
+        F.lit(1).cast("decimal(18,4)").alias("estimated_adjusted_revenue"),
+    )
+    path = str(tmp_path / "hot")
+    rows.write.parquet(path)
+    own = settings("refined")
+    rollup = base_rollup(counters(spark.read.parquet(path), own), own)
+    found = {r.bidder: r.requests for r in rollup.filter("bidder = 'hot'").collect()}
+    assert found == {"hot": 60_000}
+    assert plan_of(rollup).count("HashAggregate") == 2
+    rates = rate_table(spark.read.parquet(path), own.with_(min_requests=1000))
+    assert rates.filter("host = 'default'").count() == rates.select("bidder").distinct().count()
+
+
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_thresholds_do_not_depend_on_partitioning(spark, partitions):
+    events = [event(f"b{n}", top=500 + n * 37, requests=7001 + n) for n in range(40)]
+    own = settings("basic")
+    df = frame(spark, events)
+    expected = sorted(rate_table(df.coalesce(1), own).collect(), key=str)
+    assert sorted(rate_table(df.repartition(partitions), own).collect(), key=str) == expected
