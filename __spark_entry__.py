@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from fixtures import AS_OF, bid_events, fixture_settings  # noqa: E402
+from lotwise_checks.fixtures import AS_OF, bid_events, fixture_settings  # noqa: E402
 from lotwise.functions.measures import metric_columns  # noqa: E402
 from lotwise.operators.counters import (  # noqa: E402
     HOST_KEYS,
@@ -43,7 +43,7 @@ from lotwise.operators.rates import country_rates, host_rates, refine_rates  # n
 from lotwise.operators.thresholds import threshold_method, thresholds  # noqa: E402
 from lotwise.plans.rate_table import in_key_order, rate_table, rate_table_by_scans  # noqa: E402
 from lotwise.settings import Settings, basic, refined  # noqa: E402
-from oracles import Oracle  # noqa: E402
+from lotwise_checks.oracles import Oracle  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 VARIANTS = ("basic", "refined")

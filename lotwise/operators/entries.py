@@ -34,12 +34,16 @@ def country_entries(rows: DataFrame, settings: Settings) -> DataFrame:
 def collapse_low_volume(rows: DataFrame, entries: DataFrame, settings: Settings) -> DataFrame:
     """High entries as they are; low ones re-summed over the long window, one row per continent.
 
-    A semi-join keeps the events of groups that were low on the last day. No broadcast hint: the
+    A semi-join keeps the groups that were low on the last day. Rows are summed per group before
+    it, so a group holding much of the data reaches the join as one row. No broadcast hint: the
     number of groups follows the data, so the adaptive planner decides by the size it measures.
     """
     low_keys = entries.filter(F.col("volume_class") == LOW).select(*COUNTRY_KEYS)
     merged = (
-        rows.join(low_keys, list(COUNTRY_KEYS), "left_semi")
+        rows.filter(known_place())
+        .groupBy(*COUNTRY_KEYS)
+        .agg(*sums(settings))
+        .join(low_keys, list(COUNTRY_KEYS), "left_semi")
         .withColumn("country", collapsed_country(settings))
         .groupBy(*COUNTRY_KEYS)
         .agg(*sums(settings))

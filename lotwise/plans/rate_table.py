@@ -70,3 +70,8 @@ def rate_table_by_scans(events: DataFrame, settings: Settings) -> DataFrame:
 def in_key_order(rates: DataFrame) -> DataFrame:
     """Ascending keys, NULL host first. For sinks only; nothing downstream relies on it."""
     return rates.orderBy(*HOST_KEYS)
+
+
+def in_place_order(rates: DataFrame) -> DataFrame:
+    """Best bidder of each place first, for reading; NULL rates last."""
+    return rates.orderBy(*PLACE, F.col("top_bid_rate").desc(), "bidder")

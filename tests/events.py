@@ -5,8 +5,8 @@ from decimal import Decimal
 
 from lotwise.settings import basic, refined
 from lotwise.sources.events import EVENT_SCHEMA
-from fixtures import AS_OF
-from oracles import Oracle
+from lotwise_checks.fixtures import AS_OF
+from lotwise_checks.oracles import Oracle
 
 PRESETS = {"basic": basic, "refined": refined}
 RAW = "SELECT * FROM raw_events"

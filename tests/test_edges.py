@@ -15,7 +15,7 @@ from lotwise.operators.entries import (
 from lotwise.operators.levels import drop_redundant_hosts
 from lotwise.operators.rates import country_rates, host_rates, refine_rates
 from lotwise.operators.thresholds import threshold_method, thresholds
-from lotwise.plans.rate_table import rate_table
+from lotwise.plans.rate_table import in_place_order, rate_table
 
 VARIANTS = ["basic", "refined"]
 
@@ -255,3 +255,11 @@ def test_session_time_zone_does_not_matter(spark, variant):
         assert {r.bidder for r in rate_table(df, own).collect()} == {"b1"}
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_reading_order_puts_the_best_bidder_first(spark):
+    own = settings("basic")
+    events = [event("b1", top=10), event("b2", top=90), event("b0", top=10), event("b3", error="500")]
+    rows = counters(frame(spark, events), own)
+    ordered = in_place_order(thresholds(country_entries(rows, own), PLACE, own)).collect()
+    assert [r.bidder for r in ordered] == ["b2", "b0", "b1", "b3"]
