@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from functools import cached_property
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,6 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from lotwise_checks.fixtures import AS_OF, bid_events, fixture_settings  # noqa: E402
 from lotwise.functions.measures import metric_columns  # noqa: E402
 from lotwise.operators.counters import (  # noqa: E402
     HOST_KEYS,
@@ -43,6 +43,8 @@ from lotwise.operators.rates import country_rates, host_rates, refine_rates  # n
 from lotwise.operators.thresholds import threshold_method, thresholds  # noqa: E402
 from lotwise.plans.rate_table import in_key_order, rate_table, rate_table_by_scans  # noqa: E402
 from lotwise.settings import Settings, basic, refined  # noqa: E402
+from lotwise.sources.staging import stage  # noqa: E402
+from lotwise_checks.fixtures import AS_OF, bid_events, fixture_settings  # noqa: E402
 from lotwise_checks.oracles import Oracle  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -61,13 +63,21 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 class Steps:
-    """The named relations of one run over the fixture events, each built on the one before."""
+    """The named relations of one run over the fixture events, each built on the one before.
+
+    ``rows`` are the events' counters, for relations that read them once. Relations that need them
+    several times start from ``rollup``, so the base tables are joined and scanned once per query.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str, variant: str) -> None:
         self.settings: Settings = fixture_settings(spark, sf_dir, variant)
         self.events = bid_events(spark, sf_dir)
         self.rows = counters(self.events, self.settings)
 
+    @cached_property
+    def rollup(self) -> DataFrame:
+        return stage(base_rollup(self.rows, self.settings), "rollup", "last_day")
+
     def conditional_sums(self) -> DataFrame:
         sums = conditional_sums(self.events, self.settings)
         if self.settings.refined:
@@ -84,7 +94,8 @@ class Steps:
         return country_entries(self.rows, self.settings)
 
     def low_volume_collapse(self) -> DataFrame:
-        return collapse_low_volume(self.rows, self.country_entries(), self.settings)
+        entries = country_entries(self.rollup, self.settings)
+        return collapse_low_volume(self.rollup, entries, self.settings)
 
     def threshold_method(self) -> DataFrame:
         return threshold_method(self.low_volume_collapse(), PLACE)
@@ -103,7 +114,8 @@ class Steps:
         return threshold_method(self.host_entries(), HOST_PLACE)
 
     def host_thresholds(self) -> DataFrame:
-        return thresholds(self.host_entries(), HOST_PLACE, self.settings)
+        entries = host_entries(self.rollup, self.settings, rolled_up=True)
+        return thresholds(entries, HOST_PLACE, self.settings)
 
     def host_rates(self) -> DataFrame:
         return host_rates(self.host_thresholds(), self.settings)

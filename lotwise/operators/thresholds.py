@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lotwise.functions.measures import rounded
 from lotwise.settings import (
     FIXED,
     MAX_FIXED_SPREAD,
@@ -32,7 +33,7 @@ def _place_statistics(entries: DataFrame, place: Sequence[str]) -> DataFrame:
     return (
         entries.groupBy(*place)
         .agg(
-            F.round(F.max(rate) - F.min(rate), 1).alias("spread"),
+            rounded(F.max(rate) - F.min(rate), 1).alias("spread"),
             F.count_distinct(F.when(above, F.col("bidder"))).alias("bidders_above"),
             (F.sum(exact).cast("double") / F.count(exact)).alias("mean_rate"),
         )
@@ -58,7 +59,7 @@ def thresholds(
     statistics = _place_statistics(entries, place)
     if repeated_keys:
         entries = _merge_repeated(entries, place, settings)
-    variable = F.round(F.col("mean_rate") * THRESHOLD_SHARE, 0)
+    variable = rounded(F.col("mean_rate") * THRESHOLD_SHARE, 0)
     return (
         entries.join(statistics, list(place), "left")
         .withColumn("thr", F.when(F.col("method") == VARIABLE, variable).otherwise(F.lit(5.0)))

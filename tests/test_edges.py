@@ -59,6 +59,13 @@ def test_spread_is_rounded_before_it_is_compared(spark, high, method):
     assert found.bidders_above == 2
 
 
+@pytest.mark.parametrize(("low", "high", "spread"), [(939, 1684, 7.5), (600, 1105, 5.1), (655, 1660, 10.1)])
+def test_spread_tie_rounds_up_whatever_the_doubles(spark, low, high, spread):
+    own = settings("basic")
+    rows = counters(frame(spark, [event(top=low), event(bidder="b2", top=high)]), own)
+    assert threshold_method(country_entries(rows, own), PLACE).first().spread == spread
+
+
 def test_threshold_tie_rounds_up(spark):
     # Mean 15 * 0.9 = 13.5, threshold 14.
     own = settings("basic")
