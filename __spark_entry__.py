@@ -76,7 +76,7 @@ class Steps:
 
     @cached_property
     def rollup(self) -> DataFrame:
-        return stage(base_rollup(self.rows, self.settings), "rollup", "last_day")
+        return stage(base_rollup(self.rows, self.settings), "rollup")
 
     def conditional_sums(self) -> DataFrame:
         sums = conditional_sums(self.events, self.settings)

@@ -39,12 +39,13 @@ def published_rates(levels: DataFrame, settings: Settings) -> DataFrame:
 def rate_table(events: DataFrame, settings: Settings) -> DataFrame:
     """The whole job on one scan of the events.
 
-    Two tables are written on the way. The rollup, split by ``last_day``: country level reads it
-    all, host level the last day only, and neither touches the events again. And the entries of
-    both levels, which the rest reads several times: they leave out hosts below the volume cut.
+    Two tables are written on the way: the rollup, which both levels start from instead of the
+    events, and the entries of both levels, which the rest reads several times and which leave
+    out hosts below the volume cut. No file of the entries mixes levels, so reading one level
+    skips the other's row groups.
     """
     check_columns(events, settings)
-    rollup = stage(base_rollup(counters(events, settings), settings), "rollup", "last_day")
+    rollup = stage(base_rollup(counters(events, settings), settings), "rollup")
     entries = stage(
         treated_entries(rollup, settings)
         .select("*", F.lit(None).cast("string").alias("host"), F.lit("country").alias("level"))
@@ -52,7 +53,6 @@ def rate_table(events: DataFrame, settings: Settings) -> DataFrame:
             host_entries(rollup, settings, rolled_up=True).withColumn("level", F.lit("host"))
         ),
         "entries",
-        "level",
     )
     treated = entries.filter(F.col("level") == "country").drop("host", "level")
     hosts = entries.filter(F.col("level") == "host").drop("level")
