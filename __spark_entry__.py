@@ -37,6 +37,7 @@ from lotwise.operators.entries import (  # noqa: E402
     collapse_low_volume,
     country_entries,
     host_entries,
+    treated_entries,
 )
 from lotwise.operators.levels import drop_redundant_hosts, union_levels  # noqa: E402
 from lotwise.operators.rates import country_rates, host_rates, refine_rates  # noqa: E402
@@ -52,9 +53,9 @@ VARIANTS = ("basic", "refined")
 PRESETS = {"basic": basic, "refined": refined}
 
 # Overrides of several shapes: a scalar, a known bidder, a new bidder.
-OVERRIDE = '{"nst.com.my": 1.0, "bidder_2": {"EUROPE": {"default": 0.5, "RU": {"default": 0}}}}'
+OVERRIDE = '{"site.example": 1.0, "bidder_2": {"EUROPE": {"default": 0.5, "RU": {"default": 0}}}}'
 OVERRIDE_LEAVES = (
-    "('nst.com.my', NULL, NULL, NULL, 1.0::DOUBLE),"
+    "('site.example', NULL, NULL, NULL, 1.0::DOUBLE),"
     " ('bidder_2', 'EUROPE', 'default', 'default', 0.5),"
     " ('bidder_2', 'EUROPE', 'RU', 'default', 0.0)"
 )
@@ -78,6 +79,12 @@ class Steps:
     def rollup(self) -> DataFrame:
         return stage(base_rollup(self.rows, self.settings), "rollup")
 
+    def base_rollup(self) -> DataFrame:
+        rollup = base_rollup(self.rows, self.settings)
+        if self.settings.refined:
+            rollup = rollup.withColumn("revenue", F.col("revenue").cast("double"))
+        return rollup
+
     def conditional_sums(self) -> DataFrame:
         sums = conditional_sums(self.events, self.settings)
         if self.settings.refined:
@@ -97,6 +104,9 @@ class Steps:
         entries = country_entries(self.rollup, self.settings)
         return collapse_low_volume(self.rollup, entries, self.settings)
 
+    def treated_entries(self) -> DataFrame:
+        return treated_entries(self.rows, self.settings)
+
     def threshold_method(self) -> DataFrame:
         return threshold_method(self.low_volume_collapse(), PLACE)
 
@@ -210,10 +220,12 @@ SINGLE = {
 }
 BOTH = (
     "long_window_events",
+    "base_rollup",
     "conditional_sums",
     "ratio_metrics",
     "country_entries",
     "low_volume_collapse",
+    "treated_entries",
     "threshold_method",
     "country_thresholds",
     "country_rates",
@@ -256,10 +268,11 @@ def _oracle(method: str, variant: str) -> str:
         "valid_events": oracle.valid_events,
         "last_day_events": lambda: oracle.events_in(last_day_only=True),
         "long_window_events": lambda: oracle.events_in(last_day_only=False),
+        "base_rollup": oracle.base_rollup,
         "conditional_sums": oracle.conditional_sums,
         "ratio_metrics": oracle.ratio_metrics,
         "rate_violations": oracle.violations,
-        "override_merge": lambda: oracle.overridden(("nst.com.my", "bidder_2"), OVERRIDE_LEAVES),
+        "override_merge": lambda: oracle.overridden(("site.example", "bidder_2"), OVERRIDE_LEAVES),
         "rate_document": oracle.documents,
         "document_lines": oracle.document_lines,
     }
@@ -268,6 +281,7 @@ def _oracle(method: str, variant: str) -> str:
     steps = {
         "country_entries": "entries",
         "low_volume_collapse": "treated",
+        "treated_entries": "treated",
         "threshold_method": "methods",
         "host_entries": "hosts",
         "host_threshold_method": "host_methods",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 from datetime import date, datetime, time, timedelta, timezone
 
 # The spellings and numbers the published rates are defined by.
@@ -73,9 +73,6 @@ class Settings:
             return ("bids", "requests", "opportunities", "top_bids", "revenue")
         return ("bids", "requests", "clean_requests", "top_bids")
 
-    def with_(self, **changes) -> Settings:
-        return replace(self, **changes)
-
 
 def basic(**changes) -> Settings:
     """Rates from top-bid rate alone."""

@@ -1,6 +1,7 @@
 """What the plans must and must not contain, and results that must not depend on layout."""
 
 import re
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -118,7 +119,7 @@ def test_a_hot_key_is_combined_before_the_shuffle(spark, tmp_path):
     found = {r.bidder: r.requests for r in rollup.filter("bidder = 'hot'").collect()}
     assert found == {"hot": 60_000}
     assert plan_of(rollup).count("HashAggregate") == 2
-    rates = rate_table(spark.read.parquet(path), own.with_(min_requests=1000))
+    rates = rate_table(spark.read.parquet(path), replace(own, min_requests=1000))
     assert rates.filter("host = 'default'").count() == rates.select("bidder").distinct().count()
 
 
@@ -129,3 +130,17 @@ def test_thresholds_do_not_depend_on_partitioning(spark, partitions):
     df = frame(spark, events)
     expected = sorted(rate_table(df.coalesce(1), own).collect(), key=str)
     assert sorted(rate_table(df.repartition(partitions), own).collect(), key=str) == expected
+
+
+def test_folding_shuffles_once_for_all_levels(spark, tmp_path):
+    path = str(tmp_path / "rates")
+    rows = spark.range(200).selectExpr(
+        "concat('b', id % 3) bidder", "'EU' continent", "concat('K', id % 5) country",
+        "concat('h', id) host", "1.0D filter",
+    )
+    rows.write.parquet(path)
+    plan = plan_of(fold_rates(spark.read.parquet(path)))
+    assert plan.count("REPARTITION_BY_COL") == 1
+    assert plan.count("ObjectHashAggregate") + plan.count("SortAggregate") == 6
+    above = plan.split("REPARTITION_BY_COL")[0]
+    assert above.count("Exchange") == 1
