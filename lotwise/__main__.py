@@ -9,7 +9,7 @@ from datetime import date
 from pyspark.sql import SparkSession
 
 from lotwise.plans.publish import publish
-from lotwise.settings import basic, refined, utc_today
+from lotwise.settings import MIN_REQUESTS, basic, refined, utc_today
 from lotwise.sources.events import read_events
 from lotwise.sources.requests import parse_request
 
@@ -21,7 +21,7 @@ def main(argv: list[str] | None = None) -> str:
     parser.add_argument("--rates", help="also write the flat rate table here")
     parser.add_argument("--variant", choices=("basic", "refined"), default="basic")
     parser.add_argument("--as-of", type=date.fromisoformat, default=utc_today())
-    parser.add_argument("--min-requests", type=int, default=5000)
+    parser.add_argument("--min-requests", type=int, default=MIN_REQUESTS)
     parser.add_argument("--day-column", help="DATE partition column of the event table")
     parser.add_argument("--request", help='JSON options: {"override": {...}, "filename": "..."}')
     args = parser.parse_args(argv)

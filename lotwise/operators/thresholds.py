@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lotwise.functions.measures import rounded
 from lotwise.settings import (
     FIXED,
+    FIXED_THRESHOLD,
     MAX_FIXED_SPREAD,
     THRESHOLD_SHARE,
     TOP_BID_RATE_FLOOR,
@@ -62,7 +63,7 @@ def thresholds(
     variable = rounded(F.col("mean_rate") * THRESHOLD_SHARE, 0)
     return (
         entries.join(statistics, list(place), "left")
-        .withColumn("thr", F.when(F.col("method") == VARIABLE, variable).otherwise(F.lit(5.0)))
+        .withColumn("thr", F.when(F.col("method") == VARIABLE, variable).otherwise(F.lit(FIXED_THRESHOLD)))
         .drop("mean_rate", "bids", "top_bids")
     )
 

@@ -22,16 +22,21 @@ log = logging.getLogger(__name__)
 
 
 def publish_rates(
-    rates: DataFrame, folder: str, request: Request = Request(), rates_path: str | None = None
+    rates: DataFrame,
+    folder: str,
+    request: Request = Request(),
+    rates_path: str | None = None,
+    order_by: str | None = None,
 ) -> str:
     """Validate ``rates``, apply the request's override and write the document.
 
-    Any five-column rate table will do. Nothing is written if a row is invalid or there is none;
-    overrides are merged after validation and are not checked.
+    Any five-column rate table will do; of rows with one key, the last by ``order_by`` counts.
+    Nothing is written if a row is invalid or there is none; overrides are merged after
+    validation and are not checked.
     """
     spark = rates.sparkSession
     rates = check_rates(stage(rates, "rates"))
-    leaves = stage(distinct_leaves(rates), "leaves")
+    leaves = stage(distinct_leaves(rates, order_by), "leaves")
     overrides = override_rows(spark, request.override) if request.override else None
     if rates_path:
         write_rates(rates, rates_path)

@@ -11,9 +11,17 @@ NAN = "nan"
 TOLERATED_ERROR = "500"
 HIGH, LOW = "high", "low"
 VARIABLE, FIXED = "variable_threshold", "fixed_threshold"
+BASIC_DAYS, REFINED_DAYS = 5, 6
+MIN_REQUESTS = 5000
+DEFAULT_RATE = 0.05
 TOP_BID_RATE_FLOOR = 5.0
 MAX_FIXED_SPREAD = 10.0
+FIXED_THRESHOLD = 5.0
 THRESHOLD_SHARE = 0.9
+EXEMPT_COUNTRIES = ("RU",)
+EXCEPTION_BIDDERS = ("unrulyfsx",)
+BANDS = ((75.0, 1.0), (50.0, 0.75), (25.0, 0.5), (5.0, 0.25))
+MIN_RPR = 0.001
 # End of fixed values.
 
 
@@ -31,17 +39,17 @@ class Settings:
 
     as_of: date = field(default_factory=utc_today)
     lookback_days: int = 1
-    extended_days: int = 5
-    min_requests: int = 5000
-    default_rate: float = 0.05
+    extended_days: int = BASIC_DAYS
+    min_requests: int = MIN_REQUESTS
+    default_rate: float = DEFAULT_RATE
     volume: str = "requests"
     rate_base: str = "clean_requests"
     host_cut_inclusive: bool = False
     refined: bool = False
-    bands: tuple[tuple[float, float], ...] = ((75.0, 1.0), (50.0, 0.75), (25.0, 0.5), (5.0, 0.25))
-    min_rpr: float = 0.001
-    exempt_countries: tuple[str, ...] = ("RU",)
-    exception_bidders: tuple[str, ...] = ("unrulyfsx",)
+    bands: tuple[tuple[float, float], ...] = BANDS
+    min_rpr: float = MIN_RPR
+    exempt_countries: tuple[str, ...] = EXEMPT_COUNTRIES
+    exception_bidders: tuple[str, ...] = EXCEPTION_BIDDERS
 
     def __post_init__(self) -> None:
         if not 0 < self.lookback_days <= self.extended_days:
@@ -49,6 +57,8 @@ class Settings:
         floors = [floor for floor, _ in self.bands]
         if not floors or floors != sorted(set(floors), reverse=True):
             raise ValueError("bands must be listed from the highest bid rate to the lowest")
+        if not {self.volume, self.rate_base} <= set(self.measures):
+            raise ValueError(f"volume and rate_base must be among {self.measures}")
 
     @property
     def day_end(self) -> datetime:
@@ -82,7 +92,7 @@ def basic(**changes) -> Settings:
 def refined(**changes) -> Settings:
     """Rates further refined by bid rate and revenue per thousand opportunities."""
     preset = dict(
-        extended_days=6,
+        extended_days=REFINED_DAYS,
         volume="opportunities",
         rate_base="requests",
         host_cut_inclusive=True,

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from math import ceil
+from uuid import uuid4
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotwise.operators.counters import HOST_KEYS
@@ -18,14 +19,31 @@ def write_rates(rates: DataFrame, path: str) -> None:
 
 
 def write_document(lines: DataFrame, path: str, bytes_per_file: int = BYTES_PER_FILE) -> int:
-    """Write document lines to folder ``path`` and return the number of files.
+    """Write document lines to ``path`` and return the number of files.
 
-    The number follows the measured size: an ordinary document is one file, a complete JSON text.
-    A larger one is range-partitioned on the keys into files that give the document when read in
-    name order, so that no task holds it whole.
+    The number follows the measured size. An ordinary document is one file at ``path``. A larger
+    one is range-partitioned on the keys into a folder at ``path``, whose files give the document
+    when read in name order, so that no task holds it whole. An earlier document stays in place
+    until the new one is written.
     """
     size = lines.agg(F.sum(F.octet_length("line") + 1)).first()[0] or 0
     files = max(1, ceil(size / bytes_per_file))
     ordered = lines.repartitionByRange(files, *HOST_KEYS).sortWithinPartitions(*HOST_KEYS)
-    ordered.select("line").write.mode("overwrite").text(path)
+    fresh = f"{path}.{uuid4().hex}"
+    ordered.select("line").write.text(fresh)
+    _move(lines.sparkSession, fresh, path, whole_folder=files > 1)
     return files
+
+
+def _move(spark: SparkSession, fresh: str, path: str, whole_folder: bool) -> None:
+    """Put a written folder, or its only data file, at ``path``."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder, target = hadoop.Path(fresh), hadoop.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    source = folder
+    if not whole_folder:
+        source = fs.globStatus(hadoop.Path(folder, "part-*"))[0].getPath()
+    fs.delete(target, True)
+    if not fs.rename(source, target):
+        raise OSError(f"could not move {source} to {path}")
+    fs.delete(folder, True)

@@ -2,6 +2,7 @@
 
 import json
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -142,13 +143,15 @@ def test_integer_rates_become_doubles(spark):
     assert fold_rates(df).select(F.to_json("document")).first()[0] == '{"AF":{"FR":{"w.com":1.0}}}'
 
 
-def test_last_duplicate_wins_by_an_order_column_else_the_highest(spark):
+def test_last_duplicate_wins_by_an_order_column_else_the_highest(spark, tmp_path):
     rows = [("a", "AF", FR, "w.com", 0.5), ("a", "AF", FR, "w.com", 1.0), ("a", "AF", FR, "w.com", 0.2)]
     df = rates(spark, *rows)
     sequenced = df.withColumn("seq", F.when(F.col("filter") == 0.2, 9).otherwise(1))
     assert distinct_leaves(sequenced, "seq").first()["filter"] == 0.2
     assert folded(fold_rates(sequenced, "seq")) == {"a": {"AF": {FR: {"w.com": 0.2}}}}
     assert folded(fold_rates(df)) == {"a": {"AF": {FR: {"w.com": 1.0}}}}
+    path = publish_rates(sequenced, str(tmp_path), order_by="seq")
+    assert json.loads(Path(path).read_text()) == {"a": {"AF": {FR: {"w.com": 0.2}}}}
 
 
 def big_rates(spark, hot=3000):
@@ -258,9 +261,8 @@ def test_publish_writes_one_complete_document(spark, tmp_path):
     request = Request(override='{"b": 0.5}', filename="qa.json")
     flat = tmp_path / "flat"
     path = publish_rates(rates(spark, *rows), str(tmp_path), request, str(flat))
-    (file,) = (tmp_path / "qa.json").glob("part-*")
     assert path == str(tmp_path / "qa.json")
-    assert json.loads(file.read_text()) == expected | {"b": 0.5}
+    assert json.loads((tmp_path / "qa.json").read_text()) == expected | {"b": 0.5}
     back = spark.read.parquet(str(flat)).collect()
     assert [tuple(r) for r in back] == sorted(rows)
 
@@ -268,8 +270,9 @@ def test_publish_writes_one_complete_document(spark, tmp_path):
 def test_publish_overwrites_the_document(spark, tmp_path):
     for rate in (1.0, 0.5):
         publish_rates(rates(spark, ("a", "AF", FR, DEFAULT, rate)), str(tmp_path))
-    (file,) = (tmp_path / "traffic-rates.json").glob("part-*")
-    assert json.loads(file.read_text()) == {"a": {"AF": {FR: {DEFAULT: 0.5}}}}
+    document = tmp_path / "traffic-rates.json"
+    assert json.loads(document.read_text()) == {"a": {"AF": {FR: {DEFAULT: 0.5}}}}
+    assert [f for f in tmp_path.iterdir() if not f.name.startswith(".")] == [document]
 
 
 def test_an_invalid_row_publishes_nothing(spark, tmp_path):

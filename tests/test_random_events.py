@@ -45,11 +45,14 @@ def test_rate_table(spark, seed, collide, variant):
     load_duck(con, events)
     expected = canonical(*duck_rows(con, oracle(own).select("rates")))
     df = frame(spark, events)
-    assert canonical(*spark_rows(rate_table(df, own))) == expected
+    columns, rows = spark_rows(rate_table(df, own))
+    assert canonical(columns, rows) == expected
     assert canonical(*spark_rows(rate_table_by_scans(df, own))) == expected
-    rows = rate_table(df, own).collect()
     allowed = {0.0, 0.05, 1.0} | ({0.25, 0.5, 0.75} if own.refined else set())
-    assert rows and {r.filter for r in rows} <= allowed
+    assert rows and {row[4] for row in rows} <= allowed
     if not collide:
-        keys = [r[:4] for r in rows]
+        keys = [row[:4] for row in rows]
         assert len(set(keys)) == len(keys)
+        parents = {row[:3]: row[4] for row in rows if row[3] == "default"}
+        assert all(parents[row[:3]] != row[4] for row in rows if row[3] != "default")
+        assert all(row[4] == 0 for row in rows if row[2] == "RU")
