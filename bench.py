@@ -29,7 +29,7 @@ from lotwise.sources.staging import stage  # noqa: E402
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 MEMORY = os.environ.get("BENCH_MEMORY", "8g")
-RUNS = 3
+RUNS = 5
 
 
 def run(df: DataFrame) -> None:

@@ -17,6 +17,7 @@ from lotwise.functions.measures import (
     usable_error,
 )
 from lotwise.settings import Settings
+from lotwise.sources.events import EVENT_SCHEMA
 
 PLACE = ("continent", "country")
 COUNTRY_KEYS = ("bidder", *PLACE)
@@ -35,9 +36,10 @@ def usable_events(events: DataFrame) -> DataFrame:
 
 
 def renamed_keys(events: DataFrame) -> DataFrame:
-    return events.withColumnsRenamed(
-        {"bidder_id": "bidder", "geo_continent": "continent", "geo_country": "country"}
-    )
+    """The event columns the job knows, under short key names; a wider table may use those too."""
+    short = {"bidder_id": "bidder", "geo_continent": "continent", "geo_country": "country"}
+    known = [name for name in EVENT_SCHEMA.names if name in events.columns]
+    return events.select([F.col(name).alias(short.get(name, name)) for name in known])
 
 
 def valid_events(events: DataFrame) -> DataFrame:

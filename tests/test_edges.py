@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from compare import canonical, duck_rows, spark_rows
 from events import days_ago, event, frame, load_duck, oracle, settings
@@ -270,3 +271,13 @@ def test_reading_order_puts_the_best_bidder_first(spark):
     rows = counters(frame(spark, events), own)
     ordered = in_place_order(thresholds(country_entries(rows, own), PLACE, own)).collect()
     assert [r.bidder for r in ordered] == ["b2", "b0", "b1", "b3"]
+
+
+def test_other_columns_of_the_event_table_do_not_interfere(spark):
+    events = [event(top=600), event(bidder="b2", top=700)]
+    wide = frame(spark, events)
+    for name in ("bidder", "continent", "country", "volume", "last_day", "requests", "rate"):
+        wide = wide.withColumn(name, F.lit("other"))
+    own = settings("basic")
+    expected = rate_table(frame(spark, events), own).collect()
+    assert sorted(rate_table(wide, own).collect(), key=str) == sorted(expected, key=str)
