@@ -100,6 +100,18 @@ def distinct_leaves(rates: DataFrame, order_by: str | None = None) -> DataFrame:
     )
 
 
+def _checked(rates: DataFrame) -> DataFrame:
+    """``rates`` whose rows fail the query when they break a rule; needs no pass of its own."""
+    bidder = F
+    for rule, broken in _row_rules().items():
+        message = F.lit(f"Invalid row format: {rule}")
+        if rule == DEFAULT_COUNTRY_RULE:
+            host = F.coalesce(F.col("host"), F.lit(NULL_HOST_KEY))
+            message = F.concat(F.lit(DEFAULT_HOST_MESSAGE.format("")), host)
+        bidder = bidder.when(broken, F.raise_error(message).cast("string"))
+    return rates.withColumn("bidder", bidder.otherwise(F.col("bidder")))
+
+
 def _as_object(key: str, value: str) -> Column:
     return F.to_variant_object(F.map_from_entries(F.collect_list(F.struct(key, value))))
 
@@ -112,9 +124,10 @@ def fold_rates(
     A bidder has one row, part 0, unless it holds more than ``max_leaves`` rates. Then its rates
     are spread over several parts by key hash, so that no group outgrows a task; the parts have
     no leaf in common and merge to the bidder's whole document. One shuffle, on bidder and part,
-    serves all three levels.
+    serves all three levels. An invalid row fails the query; ``check_rates`` also reports how many
+    there are and that there are rows at all.
     """
-    leaves = distinct_leaves(rates, order_by)
+    leaves = distinct_leaves(_checked(rates), order_by)
     sizes = leaves.groupBy("bidder").agg(F.ceil(F.count("*") / max_leaves).alias("parts"))
     part = F.pmod(F.hash("continent", "country", "host"), F.col("parts")).cast("int")
     placed = leaves.join(sizes, "bidder").withColumn("part", part).drop("parts")

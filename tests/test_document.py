@@ -225,6 +225,9 @@ def test_invalid_rows(spark, row, rule):
     assert [(r.rule, r.violations) for r in broken] == [(rule, 1)]
     with pytest.raises(InvalidRates, match=rule):
         check_rates(df)
+    text = "non default host" if rule.startswith("default") else rule
+    with pytest.raises(Exception, match=text):
+        fold_rates(df).collect()
 
 
 def test_default_country_error_names_the_host(spark):
