@@ -63,7 +63,9 @@ def thresholds(
     variable = rounded(F.col("mean_rate") * THRESHOLD_SHARE, 0)
     return (
         entries.join(statistics, list(place), "left")
-        .withColumn("thr", F.when(F.col("method") == VARIABLE, variable).otherwise(F.lit(FIXED_THRESHOLD)))
+        .withColumn(
+            "thr", F.when(F.col("method") == VARIABLE, variable).otherwise(F.lit(FIXED_THRESHOLD))
+        )
         .drop("mean_rate", "bids", "top_bids")
     )
 

@@ -144,8 +144,7 @@ def test_integer_rates_become_doubles(spark):
 
 
 def test_last_duplicate_wins_by_an_order_column_else_the_highest(spark, tmp_path):
-    rows = [("a", "AF", FR, "w.com", 0.5), ("a", "AF", FR, "w.com", 1.0), ("a", "AF", FR, "w.com", 0.2)]
-    df = rates(spark, *rows)
+    df = rates(spark, *[("a", "AF", FR, "w.com", rate) for rate in (0.5, 1.0, 0.2)])
     sequenced = df.withColumn("seq", F.when(F.col("filter") == 0.2, 9).otherwise(1))
     assert distinct_leaves(sequenced, "seq").first()["filter"] == 0.2
     assert folded(fold_rates(sequenced, "seq")) == {"a": {"AF": {FR: {"w.com": 0.2}}}}
@@ -180,7 +179,8 @@ def nested(rows):
 def test_a_large_bidder_is_split_into_parts_that_merge_to_the_whole(spark):
     df, rows = big_rates(spark)
     documents = fold_rates(df, max_leaves=500)
-    parts = {r.bidder: r.n for r in documents.groupBy("bidder").agg(F.count("*").alias("n")).collect()}
+    counts = documents.groupBy("bidder").agg(F.count("*").alias("n"))
+    parts = {r.bidder: r.n for r in counts.collect()}
     assert parts.pop("hot") == 7
     assert set(parts.values()) == {1}
     assert folded(documents) == nested(rows)

@@ -60,7 +60,9 @@ def test_spread_is_rounded_before_it_is_compared(spark, high, method):
     assert found.bidders_above == 2
 
 
-@pytest.mark.parametrize(("low", "high", "spread"), [(939, 1684, 7.5), (600, 1105, 5.1), (655, 1660, 10.1)])
+@pytest.mark.parametrize(
+    ("low", "high", "spread"), [(939, 1684, 7.5), (600, 1105, 5.1), (655, 1660, 10.1)]
+)
 def test_spread_tie_rounds_up_whatever_the_doubles(spark, low, high, spread):
     own = settings("basic")
     rows = counters(frame(spark, [event(top=low), event(bidder="b2", top=high)]), own)
@@ -103,7 +105,8 @@ def test_volume_equal_to_the_cut(spark, variant):
     rows = counters(frame(spark, [event(host="x.com", requests=5000)]), own)
     assert country_entries(rows, own).first().volume_class == "low"
     assert host_entries(rows, own).count() == (1 if variant == "refined" else 0)
-    assert [k[2] for k in rates(spark, [event(host="x.com", requests=5000)], variant)] == ["default"]
+    found = rates(spark, [event(host="x.com", requests=5000)], variant)
+    assert [key[2] for key in found] == ["default"]
 
 
 @pytest.mark.parametrize(("variant", "rate"), [("basic", 1.0), ("refined", 0.05)])
@@ -255,7 +258,8 @@ def test_exempt_countries_of_a_rule_follow_the_settings(spark):
 
 @pytest.mark.parametrize("variant", VARIANTS)
 def test_session_time_zone_does_not_matter(spark, variant):
-    events = [event(at=days_ago(1)), event(bidder="b2", at=days_ago(0)), event(bidder="b3", at=days_ago(1, -1))]
+    ages = {"b1": days_ago(1), "b2": days_ago(0), "b3": days_ago(1, -1)}
+    events = [event(bidder, at=at) for bidder, at in ages.items()]
     own = settings(variant)
     df = frame(spark, events)
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
@@ -267,7 +271,8 @@ def test_session_time_zone_does_not_matter(spark, variant):
 
 def test_reading_order_puts_the_best_bidder_first(spark):
     own = settings("basic")
-    events = [event("b1", top=10), event("b2", top=90), event("b0", top=10), event("b3", error="500")]
+    events = [event("b1", top=10), event("b2", top=90), event("b0", top=10)]
+    events.append(event("b3", error="500"))
     rows = counters(frame(spark, events), own)
     ordered = in_place_order(thresholds(country_entries(rows, own), PLACE, own)).collect()
     assert [r.bidder for r in ordered] == ["b2", "b0", "b1", "b3"]

@@ -37,7 +37,7 @@ def final_plan(df):
 def stored(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("stored") / "events")
     events = [
-        event(f"b{n % 5}", host=f"h{n % 3}.com", top=n * 40, at=days_ago(1 + n % 7), bids=n, revenue=n)
+        event(f"b{n % 5}", host=f"h{n % 3}.com", top=n * 40, bids=n, at=days_ago(1 + n % 7))
         for n in range(60)
     ]
     frame(spark, events).write.parquet(path)
@@ -73,7 +73,8 @@ def test_the_events_are_scanned_once(stored, variant, monkeypatch):
 def test_no_cross_join_no_python_and_no_hint(stored, variant):
     own = settings(variant)
     rates = rate_table(stored, own)
-    for df in (rates, rate_table_by_scans(stored, own), fold_rates(rates), document_lines(distinct_leaves(rates))):
+    scans, lines = rate_table_by_scans(stored, own), document_lines(distinct_leaves(rates))
+    for df in (rates, scans, fold_rates(rates), lines):
         plan = plan_of(df)
         for word in ("CartesianProduct", "BroadcastNestedLoop", "Python", "Pandas"):
             assert word not in plan
@@ -100,7 +101,9 @@ def test_same_rates_without_broadcast_joins(spark, stored, variant):
 def test_a_hot_key_is_combined_before_the_shuffle(spark, tmp_path):
     """A third of the rows in one key leave each task as one row."""
     rows = spark.range(0, 90_000, numPartitions=6).select(
-        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("b"), F.col("id") % 40)).alias("bidder_id"),
+        F.when(F.col("id") % 3 == 0, "hot")
+        .otherwise(F.concat(F.lit("b"), F.col("id") % 40))
+        .alias("bidder_id"),
         F.lit("EU").alias("geo_continent"),
         F.lit("FR").alias("geo_country"),
         F.when(F.col("id") % 3 == 0, "hot.com").otherwise("cold.com").alias("host"),

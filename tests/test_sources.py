@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from events import days_ago, event, frame, settings
 from lotwise.__main__ import main
+from lotwise.operators.counters import long_window
 from lotwise.plans.rate_table import rate_table
 from lotwise.settings import Settings, basic, refined, utc_today
 from lotwise.sources.events import check_columns, read_events
@@ -44,7 +45,8 @@ def test_missing_and_mistyped_columns_are_named(spark):
     with pytest.raises(ValueError, match="bids is double, needs bigint"):
         check_columns(df.withColumn("bids", F.col("bids").cast("double")), settings("basic"))
     with pytest.raises(ValueError, match="record_date is date"):
-        rate_table(df.withColumn("record_date", F.col("record_date").cast("date")), settings("basic"))
+        dates = df.withColumn("record_date", F.col("record_date").cast("date"))
+        rate_table(dates, settings("basic"))
 
 
 def write_by_day(spark, path):
@@ -63,12 +65,10 @@ def test_reading_prunes_days(spark, tmp_path):
     plan = pruned._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan
     assert "estimated_adjusted_revenue" not in plan
-    rows = sorted(pruned.select("bidder_id", "record_date").collect())
-    window = everything.filter(
-        (F.col("record_date") >= F.lit(own.long_start)) & (F.col("record_date") < F.lit(own.day_end))
-    )
-    assert rows == sorted(window.select("bidder_id", "record_date").collect())
-    assert sorted(read_events(spark, path, own).select("bidder_id", "record_date").collect()) == rows
+    keys = ["bidder_id", "record_date"]
+    rows = sorted(pruned.select(keys).collect())
+    assert rows == sorted(long_window(everything, own).select(keys).collect())
+    assert rows == sorted(read_events(spark, path, own).select(keys).collect())
 
 
 def test_staged_tables_go_to_the_folder_the_session_names(spark):
@@ -85,8 +85,8 @@ def test_command_line(spark, tmp_path):
     events = str(tmp_path / "events")
     write_by_day(spark, events)
     arguments = ["--events", events, "--out", str(tmp_path), "--as-of", "2026-01-06"]
-    arguments += ["--day-column", "day", "--request", '{"filename": "r.json", "override": {"x": 1}}']
-    path = main(arguments + ["--variant", "basic", "--rates", str(tmp_path / "flat")])
+    arguments += ["--day-column", "day", "--variant", "basic", "--rates", str(tmp_path / "flat")]
+    path = main([*arguments, "--request", '{"filename": "r.json", "override": {"x": 1}}'])
     assert path == str(tmp_path / "r.json")
     assert json.loads((tmp_path / "r.json").read_text()) == {
         "b1": {"EU": {"FR": {"default": 1.0, "null": 0.05}}},
