@@ -20,14 +20,24 @@ def union_levels(countries: DataFrame, hosts: DataFrame, settings: Settings) ->
     )
 
 
-def drop_redundant_hosts(levels: DataFrame, rate: str = "rate") -> DataFrame:
+def parent_rates(levels: DataFrame, rate: str = "rate") -> DataFrame:
+    """Rates of the country rows, which hosts are compared with."""
+    return levels.filter(is_country_level()).select(
+        *COUNTRY_KEYS, F.col(rate).alias("parent_rate")
+    )
+
+
+def drop_redundant_hosts(
+    levels: DataFrame, rate: str = "rate", parents: DataFrame | None = None
+) -> DataFrame:
     """Country rows, and host rows whose rate differs from their country's.
 
-    A host without a country row compares with NULL and is dropped.
+    A host without a country row compares with NULL and is dropped. ``parents`` may be a written
+    copy of ``parent_rates(levels)``: its size is then known beforehand, and while that is below
+    the broadcast threshold the host rows need no shuffle.
     """
-    parents = levels.filter(is_country_level()).select(
-        *COUNTRY_KEYS, F.col(rate).alias("parent_rate")
-    )
+    if parents is None:
+        parents = parent_rates(levels, rate)
     return (
         levels.join(parents, list(COUNTRY_KEYS), "left")
         .filter(is_country_level() | (F.col(rate) != F.col("parent_rate")))

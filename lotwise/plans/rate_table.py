@@ -12,7 +12,7 @@ from lotwise.operators.entries import (
     host_entries,
     treated_entries,
 )
-from lotwise.operators.levels import drop_redundant_hosts, union_levels
+from lotwise.operators.levels import drop_redundant_hosts, parent_rates, union_levels
 from lotwise.operators.rates import country_rates, host_rates, refine_rates
 from lotwise.operators.thresholds import thresholds
 from lotwise.settings import Settings
@@ -31,18 +31,20 @@ def rate_levels(treated: DataFrame, hosts: DataFrame, settings: Settings) -> Dat
     return refine_rates(levels, settings) if settings.refined else levels
 
 
-def published_rates(levels: DataFrame, settings: Settings) -> DataFrame:
+def published_rates(levels: DataFrame, settings: Settings, staged: bool = False) -> DataFrame:
     rate = "refined_rate" if settings.refined else "rate"
-    return drop_redundant_hosts(levels, rate).select(*HOST_KEYS, F.col(rate).alias("filter"))
+    parents = stage(parent_rates(levels, rate), "parents") if staged else None
+    kept = drop_redundant_hosts(levels, rate, parents)
+    return kept.select(*HOST_KEYS, F.col(rate).alias("filter"))
 
 
 def rate_table(events: DataFrame, settings: Settings) -> DataFrame:
     """The whole job on one scan of the events.
 
-    Two tables are written on the way: the rollup, which both levels start from instead of the
-    events, and the entries of both levels, which the rest reads several times and which leave
-    out hosts below the volume cut. No file of the entries mixes levels, so reading one level
-    skips the other's row groups.
+    Three tables are written on the way: the rollup, which both levels start from instead of the
+    events; the entries of both levels, which the rest reads several times and which leave out
+    hosts below the volume cut; and the rates of the country rows. No file of the entries mixes
+    levels, so reading one level skips the other's row groups.
     """
     check_columns(events, settings)
     rollup = stage(base_rollup(counters(events, settings), settings), "rollup")
@@ -56,7 +58,7 @@ def rate_table(events: DataFrame, settings: Settings) -> DataFrame:
     )
     treated = entries.filter(F.col("level") == "country").drop("host", "level")
     hosts = entries.filter(F.col("level") == "host").drop("level")
-    return published_rates(rate_levels(treated, hosts, settings), settings)
+    return published_rates(rate_levels(treated, hosts, settings), settings, staged=True)
 
 
 def rate_table_by_scans(events: DataFrame, settings: Settings) -> DataFrame:
