@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 import sys
 from collections.abc import Callable
 from functools import cached_property
@@ -48,6 +49,12 @@ from lotwise.sources.staging import stage  # noqa: E402
 from lotwise_checks.fixtures import AS_OF, bid_events, fixture_settings  # noqa: E402
 from lotwise_checks.oracles import Oracle  # noqa: E402
 
+# The language-model subpackage and its pipeline are optional; an error inside them is not hidden.
+if importlib.util.find_spec("lotwise.llm") and importlib.util.find_spec("corpus_pipeline"):
+    from lotwise.llm import registry as llm  # noqa: E402
+else:
+    llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 VARIANTS = ("basic", "refined")
 PRESETS = {"basic": basic, "refined": refined}
@@ -258,10 +265,14 @@ def entry(spark: SparkSession) -> DataFrame:
     return Steps(spark, SMOKE_DIR, "basic").rate_table()
 
 
-def queries() -> dict[str, Query]:
+def rate_queries() -> dict[str, Query]:
     return {name: _query(method, variant) for name, (method, variant) in _names().items()}
 
 
+def queries() -> dict[str, Query]:
+    return rate_queries() | (llm.QUERIES if llm else {})
+
+
 def _oracle(method: str, variant: str) -> str:
     oracle = Oracle(PRESETS[variant](as_of=AS_OF))
     own = {
@@ -295,5 +306,9 @@ def _oracle(method: str, variant: str) -> str:
     return oracle.select(steps.get(method, method))
 
 
-def oracle_sql() -> dict[str, str]:
+def rate_oracle_sql() -> dict[str, str]:
     return {name: _oracle(method, variant) for name, (method, variant) in _names().items()}
+
+
+def oracle_sql() -> dict[str, str]:
+    return rate_oracle_sql() | (llm.ORACLES if llm else {})
