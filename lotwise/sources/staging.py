@@ -19,6 +19,12 @@ def staging_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def staged_path(spark: SparkSession, name: str) -> str:
+    """A folder of its own for one intermediate table."""
+    app = spark.sparkContext.applicationId
+    return f"{staging_root(spark)}/{app}/{name}-{uuid4().hex}"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` and return a reader of it.
 
@@ -26,7 +32,6 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     costs a re-read, not a recomputation of the event scan. The files stay, as checkpoints do.
     """
     spark = df.sparkSession
-    app = spark.sparkContext.applicationId
-    path = f"{staging_root(spark)}/{app}/{name}-{uuid4().hex}"
+    path = staged_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
