@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from lotwise.llm import exact_dedup, url_filter
+from lotwise.llm import exact_dedup, sharding, url_filter
 
 QUERIES = {
     "op4_exact_dedup": exact_dedup.query,
     "op8_url_filter": url_filter.query,
+    "op10_sharding": sharding.query,
 }
 ORACLES = {
     "op4_exact_dedup": exact_dedup.ORACLE,
