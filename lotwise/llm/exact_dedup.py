@@ -11,10 +11,10 @@ the same digest but other bytes are told apart by the text itself.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lotwise.llm.rows import PLACE, located
 from lotwise.sources.staging import stage, staged_path
 
 STATE = {
@@ -26,8 +26,6 @@ STATE = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
 }
-# The locator of a row's content.
-PLACE = ("_dedup_file", "_dedup_row")
 # Bytes of the ledger in one micro-batch.
 BATCH_BYTES = 16 << 30
 
@@ -36,18 +34,6 @@ def sha256(text: Column) -> Column:
     return F.sha2(F.coalesce(text, F.lit("")), 256)
 
 
-def located(docs: DataFrame) -> DataFrame:
-    """``docs`` with the locator of each row, the columns ``PLACE``.
-
-    Frames that do not come straight from files have no locator, so they are staged first.
-    """
-    place = dict(zip(PLACE, (F.col("_metadata.file_path"), F.col("_metadata.row_index"))))
-    try:
-        return docs.withColumns(place)
-    except AnalysisException:
-        return stage(docs, "located").withColumns(place)
-
-
 def fold_stream(ledger: DataFrame, path: str, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """The state after all of the ledger at ``path``: ``_digest``, ``_keep`` and ``_seen``.
 
