@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from lotwise.llm import exact_dedup, ngram_join, packing, sharding, url_filter
+from lotwise.llm import exact_dedup, language_id, ngram_join, packing, sharding, url_filter
 
 QUERIES = {
     "op4_exact_dedup": exact_dedup.query,
     "op5_packing": packing.query,
     "op6_ngram_join": ngram_join.query,
+    "op7_language_id": language_id.query,
     "op8_url_filter": url_filter.query,
     "op10_sharding": sharding.query,
 }
