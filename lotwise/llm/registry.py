@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from lotwise.llm import exact_dedup, language_id, ngram_join, packing, sharding, url_filter
 
 QUERIES = {
@@ -11,6 +12,7 @@ QUERIES = {
     "op7_language_id": language_id.query,
     "op8_url_filter": url_filter.query,
     "op10_sharding": sharding.query,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
     "op4_exact_dedup": exact_dedup.ORACLE,
