@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from lotwise.llm import exact_dedup, language_id, ngram_join, packing, sharding, url_filter
+from lotwise.llm import exact_dedup, html_extract, language_id, ngram_join, packing, sharding, url_filter
 
 QUERIES = {
+    "op1_html_extract": html_extract.query,
     "op4_exact_dedup": exact_dedup.query,
     "op5_packing": packing.query,
     "op6_ngram_join": ngram_join.query,
