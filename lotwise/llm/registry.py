@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from lotwise.llm import exact_dedup, html_extract, language_id, ngram_join, packing, sharding, url_filter
+from lotwise.llm import exact_dedup, html_extract, language_id, line_dedup, ngram_join, packing, sharding, url_filter
 
 QUERIES = {
     "op1_html_extract": html_extract.query,
+    "op3_line_dedup": line_dedup.query,
     "op4_exact_dedup": exact_dedup.query,
     "op5_packing": packing.query,
     "op6_ngram_join": ngram_join.query,
@@ -16,6 +17,7 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
+    "op3_line_dedup": line_dedup.ORACLE,
     "op4_exact_dedup": exact_dedup.ORACLE,
     "op8_url_filter": url_filter.ORACLE,
 }
