@@ -3,16 +3,29 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from lotwise.llm import exact_dedup, html_extract, language_id, line_dedup, ngram_join, packing, sharding, url_filter
+from lotwise.llm import (
+    exact_dedup,
+    hamming_search,
+    html_extract,
+    language_id,
+    line_dedup,
+    ngram_join,
+    packing,
+    piece_sampling,
+    sharding,
+    url_filter,
+)
 
 QUERIES = {
     "op1_html_extract": html_extract.query,
+    "op2_piece_sampling": piece_sampling.query,
     "op3_line_dedup": line_dedup.query,
     "op4_exact_dedup": exact_dedup.query,
     "op5_packing": packing.query,
     "op6_ngram_join": ngram_join.query,
     "op7_language_id": language_id.query,
     "op8_url_filter": url_filter.query,
+    "op9_hamming_search": hamming_search.query,
     "op10_sharding": sharding.query,
     "pipeline": corpus_pipeline.run,
 }
@@ -20,4 +33,5 @@ ORACLES = {
     "op3_line_dedup": line_dedup.ORACLE,
     "op4_exact_dedup": exact_dedup.ORACLE,
     "op8_url_filter": url_filter.ORACLE,
+    "op9_hamming_search": hamming_search.ORACLE,
 }
