@@ -34,7 +34,7 @@ from lotwise.sources.staging import stage
 SKETCH_BITS, PART_BITS, FAN_IN = 20, 14, 1024
 # Largest set sizes for which subsets are considered.
 BOUNDARIES = (0, 2, 5, 10, 15, 20, 25, 30, 40, 50, 60, 80, 100, 150, 200, 300, 500, 1000)
-# Bits of the filter that spares reading the shingles of texts without candidates, 16 MB at most.
+# Bits of the filter that spares texts without candidates a shuffle; 2 million words at most.
 MAX_FILTER_BITS = 1 << 27
 SLICE_BYTES = 4 << 20
 
@@ -117,13 +117,16 @@ def _signed(words: int, percent: int, levels):
     return run
 
 
+def shared_rarity(docs: DataFrame, words: int):
+    return docs.sparkSession.sparkContext.broadcast(rarity(docs, words))
+
+
 def _id_type(docs: DataFrame) -> str:
     return docs.schema["_id"].dataType.simpleString()
 
 
-def signatures(docs: DataFrame, words: int, percent: int) -> DataFrame:
+def signatures(docs: DataFrame, words: int, percent: int, levels) -> DataFrame:
     """Of every row: the size and digest of its shingle set, and its rarest shingles in order."""
-    levels = docs.sparkSession.sparkContext.broadcast(rarity(docs, words))
     fields = f"_id {_id_type(docs)}, {PLACE[0]} string, {PLACE[1]} long, n int, digest binary, prefix array<long>"
     rows = docs.select("_text", "_id", *PLACE)
     return stage(rows.mapInArrow(_signed(words, percent, levels), fields), "signatures")
@@ -243,72 +246,81 @@ def all_pairs(postings: DataFrame, percent: int) -> DataFrame:
     return met.filter(ordered & _possible("x", "y", percent)).select(*_pair("x", "y")).distinct()
 
 
-def _bit(place: Column, bits: int) -> Column:
-    return F.xxhash64(place).bitwiseAND(bits - 1)
-
+def _within_reach(percent: int, levels):
+    shift = np.uint64(64 - SKETCH_BITS)
 
-def _needed_bits(places: DataFrame) -> np.ndarray:
-    """A bitmap of the hashed places, of a size that follows their number up to a bound."""
-    bits = 1 << 16
-    count = places.count()
-    while bits < min(16 * count, MAX_FILTER_BITS):
-        bits *= 2
-    place = _bit(F.struct(*PLACE), bits)
-    mask = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(63).cast("int"))
-    words = places.groupBy(F.shiftright(place, 6).alias("w")).agg(F.bit_or(mask).alias("m")).toArrow()
-    bitmap = np.zeros(bits // 64, np.int64)
-    bitmap[words.column("w").to_numpy()] = words.column("m").to_numpy()
-    return np.unpackbits(bitmap.view(np.uint8), bitorder="little").view(bool)
+    def last(prefix: np.ndarray) -> tuple[int, int]:
+        return int(levels.value[int(prefix[-1] >> shift)]), int(prefix[-1])
 
-
-def _full_sets(words: int, needed):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = needed.value
         for batch in batches:
-            hashed = batch.column(3).to_numpy()
-            wanted = bits[hashed & (len(bits) - 1)]
-            for part in _slices([batch.filter(pa.array(wanted))]):
-                sets = [own.tobytes() for own in shingle_sets(part.column(0), words)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(1), part.column(2), pa.array(sets, pa.large_binary()).cast(pa.binary())],
-                    [*PLACE, "shingles"],
-                )
+            kept = []
+            for x, y, n, m in zip(*(batch.column(i) for i in (2, 3, 4, 5))):
+                x = x.values.to_numpy().view(np.uint64)
+                y = y.values.to_numpy().view(np.uint64)
+                n, m = n.as_py(), m.as_py()
+                if last(x) > last(y):
+                    x, y, n, m = y, x, m, n
+                missed = len(x) - len(np.intersect1d(x, y, assume_unique=True))
+                kept.append((n - missed) * (100 + percent) >= (n + m) * percent)
+            yield batch.select([0, 1]).filter(pa.array(kept, pa.bool_()))
 
     return run
 
 
-def shingles_of(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
-    """``cls`` and ``shingles`` of all classes in ``pairs``, from the text of one row each."""
+def plausible(classes: DataFrame, pairs: DataFrame, percent: int, levels) -> DataFrame:
+    """The pairs that their prefixes allow to be similar. Of two prefixes the one that ends first
+    in the order has, beside what they share, only shingles that the other set lacks."""
+    x = classes.select(F.col("cls").alias("a"), F.col("prefix").alias("x"), F.col("n").alias("nx"))
+    y = classes.select(F.col("cls").alias("b"), F.col("prefix").alias("y"), F.col("n").alias("ny"))
+    met = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y", "nx", "ny")
+    return stage(met.mapInArrow(_within_reach(percent, levels), "a long, b long"), "plausible")
+
+
+def _bits_for(count: int) -> int:
+    bits = 1 << 16
+    while bits < min(16 * count, MAX_FILTER_BITS):
+        bits *= 2
+    return bits
+
+
+def texts_of(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``cls`` and ``text`` of all classes in ``pairs``, the text of one row each.
+
+    A bitmap of the wanted places, of a size that follows their number up to a bound, spares
+    most other texts the shuffle; the join then finds the right ones.
+    """
     wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
     wanted = stage(classes.select("cls", "at.*").join(wanted, "cls"), "wanted")
-    needed = docs.sparkSession.sparkContext.broadcast(_needed_bits(wanted.select(*PLACE)))
-    rows = docs.select("_text", *PLACE, F.xxhash64(F.struct(*PLACE)).alias("h"))
-    fields = f"{PLACE[0]} string, {PLACE[1]} long, shingles binary"
-    found = rows.mapInArrow(_full_sets(words, needed), fields)
-    return stage(found.join(wanted, list(PLACE)).select("cls", "shingles"), "shingles")
+    bits = _bits_for(wanted.count())
+    bit = F.xxhash64(*PLACE).bitwiseAND(bits - 1)
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), bit.bitwiseAND(63).cast("int"))
+    word = F.shiftright(bit, 6).alias("word")
+    bitmap = F.broadcast(wanted.groupBy(word).agg(F.bit_or(mask).alias("mask")))
+    rows = docs.select("_text", *PLACE, word).join(bitmap, "word")
+    rows = rows.filter(F.col("mask").bitwiseAND(mask) != 0).select("_text", *PLACE)
+    return stage(rows.join(wanted, list(PLACE)).select("cls", F.col("_text").alias("text")), "texts")
 
 
-def _similar(percent: int):
+def _similar(words: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             kept = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x = np.frombuffer(x.as_buffer(), np.uint64)
-                y = np.frombuffer(y.as_buffer(), np.uint64)
+            for x, y in zip(shingle_sets(batch.column(0), words), shingle_sets(batch.column(1), words)):
                 shared = len(np.intersect1d(x, y, assume_unique=True))
                 kept.append(100 * shared >= percent * (len(x) + len(y) - shared))
-            yield batch.select([0, 1]).filter(pa.array(kept, pa.bool_()))
+            yield batch.select([2, 3]).filter(pa.array(kept, pa.bool_()))
 
     return run
 
 
 def linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs of classes that are similar."""
-    sets = shingles_of(docs, classes, pairs, words)
-    x = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("x"))
-    y = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("y"))
-    met = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
-    return stage(met.mapInArrow(_similar(percent), "a long, b long"), "links")
+    """The pairs of classes that are similar, by all shingles of both texts."""
+    texts = texts_of(docs, classes, pairs)
+    x = texts.select(F.col("cls").alias("a"), F.col("text").alias("x"))
+    y = texts.select(F.col("cls").alias("b"), F.col("text").alias("y"))
+    met = pairs.join(x, "a").join(y, "b").select("x", "y", "a", "b")
+    return stage(met.mapInArrow(_similar(words, percent), "a long, b long"), "links")
 
 
 def _rows(docs: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -326,9 +338,11 @@ def similar_pairs(
     """The whole join: all linked pairs of classes ``a`` and ``b``, and the class ``cls`` of every
     row as ``id_col``, ``n_shingles`` and ``cls``. Rows of one class have equal sets."""
     rows = _rows(docs, id_col, text)
-    signed = signatures(rows, words, percent)
+    levels = shared_rarity(rows, words)
+    signed = signatures(rows, words, percent, levels)
     classes = classes_of(signed)
-    pairs = stage(all_pairs(candidates(classes, percent, limit), percent), "pairs")
+    pairs = all_pairs(candidates(classes, percent, limit), percent)
+    pairs = plausible(classes, pairs, percent, levels)
     members = signed.join(classes.select("digest", "n", "cls"), ["digest", "n"], "left")
     members = members.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), "cls")
     return linked(rows, classes, pairs, words, percent), members
@@ -354,13 +368,15 @@ def near_duplicates(
     columns are not read. ``limit`` fixes the size up to which subsets are used.
     """
     rows = _rows(docs, id_col, text)
-    signed = signatures(rows, words, percent)
+    levels = shared_rarity(rows, words)
+    signed = signatures(rows, words, percent, levels)
     classes = classes_of(signed)
     postings = candidates(classes, percent, limit)
 
     tested = stage(star_pairs(postings, percent), "star")
-    roots = connected(linked(rows, classes, tested, words, percent))
-    rest = stage(open_pairs(postings, roots, tested, percent), "rest")
+    near = plausible(classes, tested, percent, levels)
+    roots = connected(linked(rows, classes, near, words, percent))
+    rest = plausible(classes, open_pairs(postings, roots, tested, percent), percent, levels)
     if not rest.isEmpty():
         more = linked(rows, classes, rest, words, percent)
         own = roots.select(F.col("node").alias("b"), F.col("root").alias("a"))
