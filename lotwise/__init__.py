@@ -4,7 +4,7 @@ from lotwise.operators.document import check_rates, fold_rates, merge_overrides,
 from lotwise.plans.publish import publish, publish_rates
 from lotwise.plans.rate_table import rate_table
 from lotwise.settings import Settings, basic, refined
-from lotwise.sources.events import EVENT_SCHEMA, RATE_SCHEMA, read_events
+from lotwise.sources.events import EVENT_SCHEMA, RATE_SCHEMA, read_events, table_events
 from lotwise.sources.requests import Request, parse_request
 
 __all__ = [
@@ -23,4 +23,5 @@ __all__ = [
     "rate_table",
     "read_events",
     "refined",
+    "table_events",
 ]

@@ -10,18 +10,30 @@ from pyspark.sql import SparkSession
 
 from lotwise.plans.publish import publish
 from lotwise.settings import MIN_REQUESTS, basic, refined, utc_today
-from lotwise.sources.events import read_events
+from lotwise.sources.events import read_events, table_events
 from lotwise.sources.requests import parse_request
 
 
+def bands(text: str) -> tuple[tuple[float, float], ...]:
+    pairs = (pair.split("=") for pair in text.split(","))
+    return tuple((float(floor), float(rate)) for floor, rate in pairs)
+
+
 def main(argv: list[str] | None = None) -> str:
     parser = argparse.ArgumentParser(prog="lotwise", description="Publish traffic rates.")
-    parser.add_argument("--events", required=True, help="Parquet event table")
+    source = parser.add_mutually_exclusive_group(required=True)
+    source.add_argument("--events", help="folder of the Parquet event table")
+    source.add_argument("--table", help="event table of the catalog")
     parser.add_argument("--out", required=True, help="folder the document is written under")
     parser.add_argument("--rates", help="also write the flat rate table here")
     parser.add_argument("--variant", choices=("basic", "refined"), default="basic")
     parser.add_argument("--as-of", type=date.fromisoformat, default=utc_today())
     parser.add_argument("--min-requests", type=int, default=MIN_REQUESTS)
+    parser.add_argument("--extended-days", type=int, help="days of the long window")
+    parser.add_argument("--default-rate", type=float)
+    parser.add_argument("--bands", type=bands, help="from high to low, such as 75=1,50=0.75")
+    parser.add_argument("--min-rpr", type=float)
+    parser.add_argument("--files", type=int, help="publish a folder of up to this many files")
     parser.add_argument("--day-column", help="DATE partition column of the event table")
     parser.add_argument("--request", help='JSON options: {"override": {...}, "filename": "..."}')
     args = parser.parse_args(argv)
@@ -29,9 +41,13 @@ def main(argv: list[str] | None = None) -> str:
     logging.basicConfig(level=logging.INFO)
     spark = SparkSession.builder.appName("lotwise").getOrCreate()
     preset = {"basic": basic, "refined": refined}[args.variant]
-    settings = preset(as_of=args.as_of, min_requests=args.min_requests)
-    events = read_events(spark, args.events, settings, args.day_column)
-    return publish(events, settings, args.out, parse_request(args.request), args.rates)
+    names = ("extended_days", "default_rate", "bands", "min_rpr")
+    given = {name: getattr(args, name) for name in names if getattr(args, name) is not None}
+    settings = preset(as_of=args.as_of, min_requests=args.min_requests, **given)
+    read, place = (table_events, args.table) if args.table else (read_events, args.events)
+    events = read(spark, place, settings, args.day_column)
+    request = parse_request(args.request)
+    return publish(events, settings, args.out, request, args.rates, files=args.files)
 
 
 if __name__ == "__main__":

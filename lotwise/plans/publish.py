@@ -16,7 +16,7 @@ from lotwise.plans.rate_table import rate_table
 from lotwise.settings import Settings
 from lotwise.sources.requests import Request
 from lotwise.sources.sinks import write_document, write_rates
-from lotwise.sources.staging import stage
+from lotwise.sources.staging import freed_staging, stage
 
 log = logging.getLogger(__name__)
 
@@ -27,22 +27,25 @@ def publish_rates(
     request: Request = Request(),
     rates_path: str | None = None,
     order_by: str | None = None,
+    files: int | None = None,
 ) -> str:
     """Validate ``rates``, apply the request's override and write the document.
 
     Any five-column rate table will do; of rows with one key, the last by ``order_by`` counts.
     Nothing is written if a row is invalid or there is none; overrides are merged after
-    validation and are not checked.
+    validation and are not checked. The document is one file, or with ``files`` a folder of up to
+    that many. Tables staged on the way are removed at the end, and kept if the run fails.
     """
     spark = rates.sparkSession
-    rates = check_rates(stage(rates, "rates"))
-    leaves = stage(distinct_leaves(rates, order_by), "leaves")
-    overrides = override_rows(spark, request.override) if request.override else None
-    if rates_path:
-        write_rates(rates, rates_path)
     path = f"{folder.rstrip('/')}/{request.filename}"
-    files = write_document(stage(document_lines(leaves, overrides), "lines"), path)
-    log.info("wrote %s in %d file(s)", path, files)
+    with freed_staging(spark):
+        rates = check_rates(stage(rates, "rates"))
+        leaves = stage(distinct_leaves(rates, order_by), "leaves")
+        overrides = override_rows(spark, request.override) if request.override else None
+        if rates_path:
+            write_rates(rates, rates_path)
+        write_document(stage(document_lines(leaves, overrides), "lines"), path, files)
+    log.info("wrote %s", path)
     return path
 
 
@@ -52,5 +55,10 @@ def publish(
     folder: str,
     request: Request = Request(),
     rates_path: str | None = None,
+    order_by: str | None = None,
+    files: int | None = None,
 ) -> str:
-    return publish_rates(rate_table(events, settings), folder, request, rates_path)
+    """The whole run on one scan of ``events``; options as for ``publish_rates``."""
+    with freed_staging(events.sparkSession):
+        rates = rate_table(events, settings)
+        return publish_rates(rates, folder, request, rates_path, order_by, files)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,12 +45,15 @@ def _fits(actual: T.DataType, wanted: T.DataType) -> bool:
     if isinstance(wanted, T.LongType):
         return isinstance(actual, T.IntegralType)
     if isinstance(wanted, T.DecimalType):
-        return isinstance(actual, (T.DecimalType, T.IntegralType))
+        return isinstance(actual, (T.DecimalType, T.IntegralType, T.DoubleType, T.FloatType))
     return type(actual) is type(wanted)
 
 
 def check_columns(events: DataFrame, settings: Settings) -> DataFrame:
-    """Fail before the job starts if a column is missing or cannot be summed exactly."""
+    """Fail before the job starts if a column is missing or cannot be summed exactly.
+
+    Revenue may be any number; a floating-point one is made a decimal per event.
+    """
     actual = {f.name: f.dataType for f in events.schema.fields}
     problems = []
     for wanted in EVENT_SCHEMA.fields:
@@ -64,22 +69,45 @@ def check_columns(events: DataFrame, settings: Settings) -> DataFrame:
     return events
 
 
+def _days(settings: Settings) -> list[date]:
+    first = settings.long_start.date()
+    return [first + timedelta(days=n) for n in range((settings.as_of - first).days)]
+
+
+def _in_long_window(events: DataFrame, settings: Settings) -> DataFrame:
+    return events.filter(in_window(F.col("record_date"), settings.long_start, settings.day_end))
+
+
 def read_events(
     spark: SparkSession, path: str, settings: Settings, day_column: str | None = None
 ) -> DataFrame:
     """Events of the long window.
 
-    ``day_column`` names a DATE partition column holding the UTC day of ``record_date``; with it
-    only the window's folders are listed. The time filter alone prunes Parquet row groups.
+    ``day_column`` names a DATE partition column holding the UTC day of ``record_date``. With it
+    the folders of the window's days are asked for by name, and no other folder of the table is
+    listed or read, whatever it holds; a day without a folder has no events. Without it the time
+    filter alone prunes Parquet row groups.
     """
-    schema = EVENT_SCHEMA
-    if not settings.refined:
-        schema = T.StructType([f for f in schema.fields if f.name not in REFINED_ONLY])
-    if day_column:
-        schema = T.StructType([*schema.fields, T.StructField(day_column, T.DateType())])
-    events = spark.read.schema(schema).parquet(path)
+    if not day_column:
+        return _in_long_window(spark.read.parquet(path), settings)
+    root = path.rstrip("/")
+    folders = [f"{root}/{day_column}={day.isoformat()}" for day in _days(settings)]
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [folder for folder in folders if fs.exists(hadoop.Path(folder))]
+    if not found:
+        return spark.createDataFrame([], EVENT_SCHEMA)
+    events = spark.read.option("basePath", root).parquet(*found)
+    return _in_long_window(events.drop(day_column), settings)
+
+
+def table_events(
+    spark: SparkSession, name: str, settings: Settings, day_column: str | None = None
+) -> DataFrame:
+    """Events of the long window of a catalog table; the catalog finds the days' partitions."""
+    events = spark.table(name)
     if day_column:
-        first, end = settings.long_start.date(), settings.as_of
         day = F.col(day_column)
+        first, end = settings.long_start.date(), settings.as_of
         events = events.filter((day >= F.lit(first)) & (day < F.lit(end))).drop(day_column)
-    return events.filter(in_window(F.col("record_date"), settings.long_start, settings.day_end))
+    return _in_long_window(events, settings)

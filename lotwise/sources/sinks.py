@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from math import ceil
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lotwise.operators.counters import HOST_KEYS
 
-BYTES_PER_FILE = 128 * 1024 * 1024
+# Lies in every folder that a document was written to, so that no other folder is ever replaced.
+MARKER = "_lotwise_document"
 
 
 def write_rates(rates: DataFrame, path: str) -> None:
@@ -18,32 +17,73 @@ def write_rates(rates: DataFrame, path: str) -> None:
     rates.orderBy(*HOST_KEYS).write.mode("overwrite").parquet(path)
 
 
-def write_document(lines: DataFrame, path: str, bytes_per_file: int = BYTES_PER_FILE) -> int:
-    """Write document lines to ``path`` and return the number of files.
+def write_document(lines: DataFrame, path: str, files: int | None = None) -> None:
+    """Write document lines to ``path`` as the caller asks, whatever their size.
 
-    The number follows the measured size. An ordinary document is one file at ``path``. A larger
-    one is range-partitioned on the keys into a folder at ``path``, whose files give the document
-    when read in name order, so that no task holds it whole. An earlier document stays in place
-    until the new one is written.
+    Without ``files`` the document is one file at ``path``: its sorted ranges pass through one
+    task, one after the other. With ``files`` it is a folder at ``path`` with up to that many
+    files, written in parallel, which give the document when read in name order.
+
+    An earlier document is replaced only once the new one is written: a file by one overwriting
+    rename, a folder by moving the old one aside, back again if the new one cannot take its place.
+    A folder that no document was written to is never touched, and a file never replaces a folder
+    or a folder a file.
     """
-    size = lines.agg(F.sum(F.octet_length("line") + 1)).first()[0] or 0
-    files = max(1, ceil(size / bytes_per_file))
-    ordered = lines.repartitionByRange(files, *HOST_KEYS).sortWithinPartitions(*HOST_KEYS)
-    fresh = f"{path}.{uuid4().hex}"
-    ordered.select("line").write.text(fresh)
-    _move(lines.sparkSession, fresh, path, whole_folder=files > 1)
-    return files
+    spark = lines.sparkSession
+    fs, target = _place(spark, path)
+    exists = fs.exists(target)
+    if files is None and exists and fs.getFileStatus(target).isDirectory():
+        raise FileExistsError(f"{path} is a folder")
+    if files is not None and exists and not fs.exists(_path(spark, target, MARKER)):
+        raise FileExistsError(f"{path} is no folder that a document was written to")
+    fresh = _path(spark, target.getParent(), f".{target.getName()}.{uuid4().hex}")
+    if files is None:
+        ordered = lines.orderBy(*HOST_KEYS).coalesce(1)
+    else:
+        ordered = lines.repartitionByRange(files, *HOST_KEYS).sortWithinPartitions(*HOST_KEYS)
+    try:
+        ordered.select("line").write.text(fresh.toString())
+        if files is None:
+            _replace_file(spark, fs, fs.globStatus(_path(spark, fresh, "part-*"))[0].getPath(), target)
+        else:
+            fs.create(_path(spark, fresh, MARKER)).close()
+            _replace_folder(spark, fs, fresh, target)
+    finally:
+        fs.delete(fresh, True)
 
 
-def _move(spark: SparkSession, fresh: str, path: str, whole_folder: bool) -> None:
-    """Put a written folder, or its only data file, at ``path``."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    folder, target = hadoop.Path(fresh), hadoop.Path(path)
+def _path(spark: SparkSession, *parts):
+    return spark._jvm.org.apache.hadoop.fs.Path(*parts)
+
+
+def _place(spark: SparkSession, path: str):
+    target = _path(spark, path)
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    source = folder
-    if not whole_folder:
-        source = fs.globStatus(hadoop.Path(folder, "part-*"))[0].getPath()
-    fs.delete(target, True)
-    if not fs.rename(source, target):
-        raise OSError(f"could not move {source} to {path}")
-    fs.delete(folder, True)
+    return fs, fs.makeQualified(target)
+
+
+def _replace_file(spark: SparkSession, fs, source, target) -> None:
+    """One rename that overwrites: there is always a whole document at the target."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    kind = getattr(hadoop, "Options$Rename")
+    overwrite = spark.sparkContext._gateway.new_array(kind, 1)
+    overwrite[0] = kind.OVERWRITE
+    configuration = spark._jsc.hadoopConfiguration()
+    hadoop.FileContext.getFileContext(target.toUri(), configuration).rename(source, target, overwrite)
+
+
+def _replace_folder(spark: SparkSession, fs, source, target) -> None:
+    aside = _path(spark, target.getParent(), f".{target.getName()}.{uuid4().hex}")
+    earlier = fs.exists(target)
+    if earlier and not fs.rename(target, aside):
+        raise OSError(f"could not move {target} aside")
+    moved = False
+    try:
+        moved = fs.rename(source, target)
+        if not moved:
+            raise OSError(f"could not move {source} to {target}")
+    finally:
+        if earlier and not moved:
+            fs.rename(aside, target)
+    if earlier:
+        fs.delete(aside, True)

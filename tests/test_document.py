@@ -21,6 +21,7 @@ from lotwise.operators.document import (
 from lotwise.plans.publish import publish_rates
 from lotwise.sources.events import RATE_SCHEMA
 from lotwise.sources.requests import Request, parse_request
+from lotwise.sources import sinks
 from lotwise.sources.sinks import write_document
 
 FR, DEFAULT = "FR", "default"
@@ -53,60 +54,61 @@ def published(lines):
     return json.loads("\n".join(r.line for r in ordered))
 
 
+# One case per rule of the document: rows in any order, the object they fold into.
 ROWS = {
-    "continent default after a country": (
-        [("a", "AF", "ZA", "w.com", 1.0), ("a", "AF", DEFAULT, DEFAULT, 0.2)],
-        {"a": {"AF": {DEFAULT: 0.2, "ZA": {"w.com": 1.0}}}},
+    "a continent's default beside an object": (
+        [("hammer", "OC", DEFAULT, DEFAULT, 0.35), ("hammer", "OC", "NZ", "kiwi.example", 0.6)],
+        {"hammer": {"OC": {"NZ": {"kiwi.example": 0.6}, DEFAULT: 0.35}}},
     ),
-    "continent default only": (
-        [("a", "AF", DEFAULT, DEFAULT, 0.2)],
-        {"a": {"AF": {DEFAULT: 0.2}}},
+    "nothing but a continent's default": (
+        [("hammer", "OC", DEFAULT, DEFAULT, 0.15)],
+        {"hammer": {"OC": {DEFAULT: 0.15}}},
     ),
-    "country default only": (
-        [("a", "AF", "SA", DEFAULT, 0.1)],
-        {"a": {"AF": {"SA": {DEFAULT: 0.1}}}},
+    "a country's default is a member of its object": (
+        [("hammer", "NA", "MX", DEFAULT, 0.45)],
+        {"hammer": {"NA": {"MX": {DEFAULT: 0.45}}}},
     ),
-    "country default after a host": (
-        [("a", "AF", "ZA", "w.com", 1.0), ("a", "AF", "ZA", DEFAULT, 0.2)],
-        {"a": {"AF": {"ZA": {DEFAULT: 0.2, "w.com": 1.0}}}},
+    "hosts around their country's default": (
+        [
+            ("hammer", "NA", "MX", "zapote.example", 0.0),
+            ("hammer", "NA", "MX", DEFAULT, 0.7),
+            ("hammer", "NA", "MX", "agave.example", 0.3),
+        ],
+        {"hammer": {"NA": {"MX": {DEFAULT: 0.7, "agave.example": 0.3, "zapote.example": 0.0}}}},
     ),
-    "several countries, shuffled": (
+    "countries that sort before and after the default": (
         [
-            ("a", "AF", "LA", DEFAULT, 1.0),
-            ("a", "AF", "ZA", "w.com", 1.0),
-            ("a", "AF", DEFAULT, DEFAULT, 1.0),
-            ("a", "AF", "ZA", "x.com", 0.5),
-            ("a", "AF", "LA", "x.com", 0.5),
-            ("a", "AF", "ZA", DEFAULT, 0.8),
+            ("hammer", "EU", "dk", "fjord.example", 0.55),
+            ("hammer", "EU", "zz", "last.example", 0.65),
+            ("hammer", "EU", DEFAULT, DEFAULT, 0.4),
+            ("hammer", "EU", "PL", DEFAULT, 0.9),
         ],
         {
-            "a": {
-                "AF": {
-                    "LA": {DEFAULT: 1.0, "x.com": 0.5},
-                    "ZA": {"w.com": 1.0, "x.com": 0.5, DEFAULT: 0.8},
-                    DEFAULT: 1.0,
+            "hammer": {
+                "EU": {
+                    "PL": {DEFAULT: 0.9},
+                    "dk": {"fjord.example": 0.55},
+                    DEFAULT: 0.4,
+                    "zz": {"last.example": 0.65},
                 }
             }
         },
     ),
-    "several bidders and continents": (
+    "bidders share neither places nor shapes": (
         [
-            ("a", "AF", "ZA", DEFAULT, 1.0),
-            ("a", "AF", DEFAULT, DEFAULT, 0.2),
-            ("a", "SA", "BR", "x.com", 1.0),
-            ("a", "SA", "BR", DEFAULT, 0.5),
-            ("b", "SA", "BR", "y.com", 0.2),
-            ("b", "AF", DEFAULT, DEFAULT, 0.2),
-            ("b", "SA", DEFAULT, DEFAULT, 0.9),
-            ("c", "SA", DEFAULT, DEFAULT, 0.3),
+            ("anvil", "AS", "JP", DEFAULT, 0.05),
+            ("hammer", "AS", DEFAULT, DEFAULT, 0.85),
+            ("tongs", "EU", "PL", "wisla.example", 1.0),
+            ("tongs", "AS", "JP", "fuji.example", 0.25),
+            ("tongs", "EU", DEFAULT, DEFAULT, 0.0),
         ],
         {
-            "a": {
-                "AF": {DEFAULT: 0.2, "ZA": {DEFAULT: 1.0}},
-                "SA": {"BR": {DEFAULT: 0.5, "x.com": 1.0}},
+            "anvil": {"AS": {"JP": {DEFAULT: 0.05}}},
+            "hammer": {"AS": {DEFAULT: 0.85}},
+            "tongs": {
+                "AS": {"JP": {"fuji.example": 0.25}},
+                "EU": {"PL": {"wisla.example": 1.0}, DEFAULT: 0.0},
             },
-            "b": {"AF": {DEFAULT: 0.2}, "SA": {DEFAULT: 0.9, "BR": {"y.com": 0.2}}},
-            "c": {"SA": {DEFAULT: 0.3}},
         },
     ),
     "empty, missing and awkward hosts": (
@@ -176,27 +178,70 @@ def nested(rows):
     return document
 
 
-def test_a_large_bidder_is_split_into_parts_that_merge_to_the_whole(spark):
+def test_parts_are_alike_for_every_bidder_and_merge_to_the_whole(spark):
     df, rows = big_rates(spark)
-    documents = fold_rates(df, max_leaves=500)
+    documents = fold_rates(df, parts=7)
     counts = documents.groupBy("bidder").agg(F.count("*").alias("n"))
     parts = {r.bidder: r.n for r in counts.collect()}
-    assert parts.pop("hot") == 7
-    assert set(parts.values()) == {1}
+    assert parts["hot"] == 7 and max(parts.values()) == 7
     assert folded(documents) == nested(rows)
     leaves = unfold_rates(documents)
     assert {tuple(r[:4]): r[4] for r in leaves.collect()} == rows
     assert leaves.count() == len(rows)
 
 
-def test_a_large_document_is_several_files_in_order(spark, tmp_path):
+def test_one_part_whatever_the_number_of_leaves(spark):
+    df = rates(spark, *[("a", "AF", FR, f"h{i}.com", 1.0) for i in range(3000)])
+    assert [r.part for r in fold_rates(df).collect()] == [0]
+
+
+@pytest.mark.parametrize("files", [None, 1, 4])
+def test_the_caller_chooses_the_layout(spark, tmp_path, files):
     df, rows = big_rates(spark)
     path = tmp_path / "big.json"
-    files = write_document(document_lines(distinct_leaves(df)), str(path), bytes_per_file=10_000)
-    written = sorted(path.glob("part-*"))
-    assert files == len(written) > 3
-    text = "".join(f.read_text() for f in written)
-    assert json.loads(text) == nested(rows)
+    for _ in range(2):
+        write_document(document_lines(distinct_leaves(df)), str(path), files)
+    written = [path] if files is None else sorted(path.glob("part-*"))
+    assert len(written) == (files or 1)
+    assert json.loads("".join(f.read_text() for f in written)) == nested(rows)
+    assert {f.name for f in tmp_path.iterdir() if not f.name.endswith(".crc")} == {"big.json"}
+
+
+def lines_of(spark, rate=1.0):
+    return document_lines(distinct_leaves(rates(spark, ("a", "AF", FR, DEFAULT, rate))))
+
+
+def test_other_folders_and_files_are_never_replaced(spark, tmp_path):
+    own = tmp_path / "mine"
+    own.mkdir()
+    (own / "keep.txt").write_text("keep")
+    plain = tmp_path / "plain.json"
+    plain.write_text("{}")
+    for path, files in ((own, None), (own, 2), (plain, 2)):
+        with pytest.raises(FileExistsError):
+            write_document(lines_of(spark), str(path), files)
+    assert (own / "keep.txt").read_text() == "keep" and plain.read_text() == "{}"
+    assert {f.name for f in tmp_path.iterdir() if not f.name.startswith(".")} == {"mine", "plain.json"}
+
+
+@pytest.mark.parametrize("files", [None, 2])
+def test_a_failing_rename_leaves_the_earlier_document(spark, tmp_path, files, monkeypatch):
+    path = tmp_path / "r.json"
+    write_document(lines_of(spark), str(path), files)
+    read = lambda: path.read_text() if files is None else "".join(f.read_text() for f in sorted(path.glob("part-*")))
+    before = read()
+
+    def gone(spark, fs, source, target):
+        fs.delete(source, True)
+        return real(spark, fs, source, target)
+
+    name = "_replace_file" if files is None else "_replace_folder"
+    real = getattr(sinks, name)
+    monkeypatch.setattr(sinks, name, gone)
+    with pytest.raises(Exception):
+        write_document(lines_of(spark, 0.5), str(path), files)
+    assert read() == before
+    assert {f.name for f in tmp_path.iterdir() if not f.name.endswith(".crc")} == {"r.json"}
 
 
 def test_valid_rates_pass(spark):
@@ -231,22 +276,23 @@ def test_invalid_rows(spark, row, rule):
 
 
 def test_default_country_error_names_the_host(spark):
-    df = rates(spark, ("adform", "AF", DEFAULT, "www.testing.com", 1.0))
-    wanted = "default country and non default host isn't allowed: www.testing.com"
+    df = rates(spark, ("tongs", "AS", DEFAULT, "fuji.example", 0.25))
+    wanted = "default country and non default host isn't allowed: fuji.example"
     with pytest.raises(InvalidRates, match=wanted):
         check_rates(df)
 
 
 def test_empty_result_is_an_error(spark):
-    with pytest.raises(InvalidRates, match="empty query result list"):
-        check_rates(rates(spark))
+    for step in (check_rates, fold_rates):
+        with pytest.raises(InvalidRates, match="empty query result list"):
+            step(rates(spark))
 
 
-OVERRIDE = {"a": {"EU": {DEFAULT: 0.5}}, "site.example": 1.0, "z": None, "0": {}, "s": "text"}
+OVERRIDE = {"tongs": {"EU": {DEFAULT: 0.5}}, "site.example": 1.0, "z": None, "0": {}, "s": "text"}
 
 
 def test_overrides_replace_whole_bidders_and_add_keys(spark):
-    rows, expected = ROWS["several bidders and continents"]
+    rows, expected = ROWS["bidders share neither places nor shapes"]
     df = rates(spark, *rows)
     overrides = override_rows(spark, json.dumps(OVERRIDE))
     assert folded(merge_overrides(fold_rates(df), overrides)) == expected | OVERRIDE
@@ -260,12 +306,12 @@ def test_overrides_may_replace_every_bidder(spark):
 
 
 def test_publish_writes_one_complete_document(spark, tmp_path):
-    rows, expected = ROWS["several bidders and continents"]
-    request = Request(override='{"b": 0.5}', filename="qa.json")
+    rows, expected = ROWS["bidders share neither places nor shapes"]
+    request = Request(override='{"anvil": 0.5}', filename="qa.json")
     flat = tmp_path / "flat"
     path = publish_rates(rates(spark, *rows), str(tmp_path), request, str(flat))
     assert path == str(tmp_path / "qa.json")
-    assert json.loads((tmp_path / "qa.json").read_text()) == expected | {"b": 0.5}
+    assert json.loads((tmp_path / "qa.json").read_text()) == expected | {"anvil": 0.5}
     back = spark.read.parquet(str(flat)).collect()
     assert [tuple(r) for r in back] == sorted(rows)
 
@@ -300,6 +346,16 @@ def test_requests(text, expected):
     assert parse_request(text) == expected
 
 
+@pytest.mark.parametrize(
+    "name", ["", None, " ", ".", "..", "../x.json", "/x.json", "a/b.json", "a\\b", "x\n", ".hidden", "_x", 3]
+)
+def test_filenames_are_plain_names(spark, tmp_path, name):
+    (tmp_path / "other.txt").write_text("keep")
+    with pytest.raises(ValueError, match="plain name"):
+        parse_request(json.dumps({"filename": name}))
+    assert (tmp_path / "other.txt").read_text() == "keep"
+
+
 @pytest.mark.parametrize("text", ["[]", '{"override": 3}', '{"override": ["a"]}'])
 def test_requests_of_the_wrong_shape(text):
     with pytest.raises(ValueError):
