@@ -35,7 +35,6 @@ from lotwise.operators.document import (  # noqa: E402
     unfold_rates,
 )
 from lotwise.operators.entries import (  # noqa: E402
-    collapse_low_volume,
     country_entries,
     host_entries,
     treated_entries,
@@ -43,9 +42,13 @@ from lotwise.operators.entries import (  # noqa: E402
 from lotwise.operators.levels import drop_redundant_hosts, union_levels  # noqa: E402
 from lotwise.operators.rates import country_rates, host_rates, refine_rates  # noqa: E402
 from lotwise.operators.thresholds import threshold_method, thresholds  # noqa: E402
-from lotwise.plans.rate_table import in_key_order, rate_table, rate_table_by_scans  # noqa: E402
+from lotwise.plans.publish import publish  # noqa: E402
+from lotwise.plans.rate_table import in_key_order, rate_table  # noqa: E402
 from lotwise.settings import Settings, basic, refined  # noqa: E402
-from lotwise.sources.staging import stage  # noqa: E402
+from lotwise.sources.events import read_events  # noqa: E402
+from lotwise.sources.sinks import write_rates  # noqa: E402
+from lotwise.sources.staging import stage, staged_path  # noqa: E402
+from lotwise_checks.comparison import collapse_low_volume, rate_table_by_scans  # noqa: E402
 from lotwise_checks.fixtures import AS_OF, bid_events, fixture_settings  # noqa: E402
 from lotwise_checks.oracles import Oracle  # noqa: E402
 
@@ -78,7 +81,8 @@ class Steps:
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, variant: str) -> None:
-        self.settings: Settings = fixture_settings(spark, sf_dir, variant)
+        self.spark = spark
+        self.settings: Settings = fixture_settings(variant)
         self.events = bid_events(spark, sf_dir)
         self.rows = counters(self.events, self.settings)
 
@@ -86,6 +90,14 @@ class Steps:
     def rollup(self) -> DataFrame:
         return stage(base_rollup(self.rows, self.settings), "rollup")
 
+    @cached_property
+    def treated(self) -> DataFrame:
+        return stage(treated_entries(self.rows, self.settings), "treated")
+
+    @cached_property
+    def staged_rates(self) -> DataFrame:
+        return stage(rate_table(self.events, self.settings), "rates")
+
     def base_rollup(self) -> DataFrame:
         rollup = base_rollup(self.rows, self.settings)
         if self.settings.refined:
@@ -115,11 +127,10 @@ class Steps:
         return treated_entries(self.rows, self.settings)
 
     def threshold_method(self) -> DataFrame:
-        return threshold_method(self.low_volume_collapse(), PLACE)
+        return threshold_method(self.treated, PLACE, repeated_keys=True)
 
     def country_thresholds(self) -> DataFrame:
-        treated = self.low_volume_collapse()
-        return thresholds(treated, PLACE, self.settings, repeated_keys=True)
+        return thresholds(self.treated, PLACE, self.settings, repeated_keys=True)
 
     def country_rates(self) -> DataFrame:
         return country_rates(self.country_thresholds(), self.settings)
@@ -156,20 +167,42 @@ class Steps:
         return rate_table_by_scans(self.events, self.settings)
 
     def rate_leaves(self) -> DataFrame:
-        return unfold_rates(fold_rates(self.rate_table()))
+        return unfold_rates(fold_rates(self.staged_rates))
 
     def rate_document(self) -> DataFrame:
-        folded = fold_rates(self.rate_table())
+        folded = fold_rates(self.staged_rates)
         return folded.withColumn("document", F.to_json("document"))
 
     def document_lines(self) -> DataFrame:
-        return document_lines(distinct_leaves(self.rate_table()))
+        return document_lines(stage(distinct_leaves(self.staged_rates), "leaves"))
 
     def override_merge(self) -> DataFrame:
-        documents = fold_rates(self.rate_table())
+        documents = fold_rates(self.staged_rates)
         overrides = override_rows(documents.sparkSession, OVERRIDE)
         return unfold_rates(merge_overrides(documents, overrides))
 
+    def published_document(self) -> DataFrame:
+        """The published file, read back and flattened."""
+        path = publish(self.events, self.settings, staged_path(self.spark, "published"))
+        self.spark.read.text(path, wholetext=True).createOrReplaceTempView("published_text")
+        documents = self.spark.sql(
+            "SELECT m.key AS bidder, m.value AS document FROM published_text,"
+            " LATERAL variant_explode(parse_json(value)) AS m"
+        )
+        return unfold_rates(documents)
+
+    def flat_rates(self) -> DataFrame:
+        path = staged_path(self.spark, "flat")
+        write_rates(self.staged_rates, path)
+        return self.spark.read.parquet(path)
+
+    def windowed_events(self) -> DataFrame:
+        """Events stored by day and read as the job reads them."""
+        path = staged_path(self.spark, "events")
+        by_day = self.events.withColumn("day", F.to_date("record_date"))
+        by_day.write.partitionBy("day").parquet(path)
+        return self._timed(read_events(self.spark, path, self.settings, day_column="day"))
+
     def rate_violations(self) -> DataFrame:
         """Candidate rates straight from events, which break every row rule."""
         candidates = self.events.select(
@@ -247,6 +280,9 @@ BOTH = (
     "rate_leaves",
     "rate_document",
     "document_lines",
+    "published_document",
+    "flat_rates",
+    "windowed_events",
 )
 
 
@@ -279,6 +315,7 @@ def _oracle(method: str, variant: str) -> str:
         "valid_events": oracle.valid_events,
         "last_day_events": lambda: oracle.events_in(last_day_only=True),
         "long_window_events": lambda: oracle.events_in(last_day_only=False),
+        "windowed_events": lambda: oracle.events_in(last_day_only=False),
         "base_rollup": oracle.base_rollup,
         "conditional_sums": oracle.conditional_sums,
         "ratio_metrics": oracle.ratio_metrics,
@@ -302,6 +339,8 @@ def _oracle(method: str, variant: str) -> str:
         "rate_table": "rates",
         "rate_table_by_scans": "rates",
         "rate_leaves": "leaves",
+        "published_document": "leaves",
+        "flat_rates": "rates",
     }
     return oracle.select(steps.get(method, method))
 

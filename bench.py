@@ -19,12 +19,15 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from lotwise_checks.fixtures import bid_events, fixture_settings  # noqa: E402
+from lotwise.operators.counters import counters  # noqa: E402
 from lotwise.operators.document import fold_rates  # noqa: E402
+from lotwise.operators.entries import host_entries  # noqa: E402
 from lotwise.plans.publish import publish_rates  # noqa: E402
-from lotwise.plans.rate_table import rate_table, rate_table_by_scans  # noqa: E402
+from lotwise.plans.rate_table import rate_table  # noqa: E402
 from lotwise.sources.events import read_events  # noqa: E402
 from lotwise.sources.staging import stage  # noqa: E402
+from lotwise_checks.comparison import rate_table_by_scans  # noqa: E402
+from lotwise_checks.fixtures import bid_events, fixture_settings  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -54,9 +57,14 @@ def main() -> None:
     events = bid_events(spark, SF_DIR)
     events.withColumn("day", F.to_date("record_date")).write.partitionBy("day").parquet(table)
 
-    timed = {}
+    timed, rows = {}, {}
     for variant in ("basic", "refined"):
-        own = fixture_settings(spark, SF_DIR, variant)
+        own = fixture_settings(variant)
+        rows[f"host_entries_{variant}"] = host_entries(counters(events, own), own).count()
+        published = stage(rate_table(events, own), "counted")
+        rows[f"published_{variant}"] = published.count()
+        hosts = published.filter("host IS NULL OR host <> 'default'")
+        rows[f"published_hosts_{variant}"] = hosts.count()
 
         def scan(own=own) -> DataFrame:
             return read_events(spark, table, own, day_column="day")
@@ -89,6 +97,7 @@ def main() -> None:
                 "value": round(headline, 3),
                 "unit": "sec",
                 "queries": seconds,
+                "rows": rows,
                 "sf": Path(SF_DIR).name.removeprefix("sf"),
                 "cpus": int(CPUS),
                 "memory": MEMORY,

@@ -31,10 +31,24 @@ def is_country_level() -> Column:
     return F.col("host") == DEFAULT
 
 
+def is_host_level() -> Column:
+    """A missing host is a host."""
+    return F.col("host").isNull() | (F.col("host") != DEFAULT)
+
+
 def or_zero(column: Column) -> Column:
     return F.coalesce(column, F.lit(0))
 
 
+def exact_revenue(revenue: Column) -> Column:
+    """Revenue as a decimal of ten places, half-up, so that its sum is the same in any order.
+
+    A decimal of up to ten places and 18 digits before the point keeps its value; a double is
+    converted here, once per event.
+    """
+    return revenue.cast("decimal(28,10)")
+
+
 def counter_columns(settings: Settings) -> list[Column]:
     """Row-level, null-free counters. ``clean_`` and top bids count error-free rows only."""
     clean = F.col("error_code").isNull()
@@ -44,7 +58,7 @@ def counter_columns(settings: Settings) -> list[Column]:
         "clean_requests": F.when(clean, F.col("bid_requests")),
         "opportunities": F.col("bid_opportunities"),
         "top_bids": F.when(clean, F.col("total_top_bids")),
-        "revenue": F.col("estimated_adjusted_revenue"),
+        "revenue": exact_revenue(F.col("estimated_adjusted_revenue")),
     }
     return [or_zero(sources[name]).alias(name) for name in settings.measures]
 
@@ -53,12 +67,6 @@ def sums(settings: Settings) -> list[Column]:
     return [F.sum(name).alias(name) for name in settings.measures]
 
 
-def rounded(column: Column, places: int) -> Column:
-    """Half-up, on twelve decimals: a double a hair under a tie, such as 16.84 - 9.39 with its
-    7.449999999999999, rounds as the tie it stands for."""
-    return F.round(column.cast("decimal(38,12)"), places).cast("double")
-
-
 def percent(part: str, whole: str) -> Column:
     return F.try_divide(F.col(part), F.col(whole)) * 100
 
@@ -69,7 +77,7 @@ def metric_columns(settings: Settings) -> list[Column]:
     Revenue stays a decimal until here, so its sum is the same in any order.
     """
     volume = F.col(settings.volume).alias("volume")
-    top_bid_rate = rounded(percent("top_bids", settings.rate_base), 2).alias("top_bid_rate")
+    top_bid_rate = F.round(percent("top_bids", settings.rate_base), 2).alias("top_bid_rate")
     if not settings.refined:
         return [F.col("bids"), volume, F.col("top_bids"), top_bid_rate]
     revenue = F.col("revenue").cast("double")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lotwise.operators.counters import COUNTRY_KEYS, HOST_KEYS
 from lotwise.settings import DEFAULT
+from lotwise.sources.staging import stage
 
 # Messages callers match on, and the key a missing host is published under.
 EMPTY_RESULT_MESSAGE = "Failed to map results: empty query result list"
@@ -25,8 +26,6 @@ NULL_HOST_KEY = "null"
 
 DEFAULT_COUNTRY_RULE = "default_country_with_other_host"
 EMPTY_RULE = "empty_result"
-# A folded value stays far below Spark's VARIANT size limit with this many leaves.
-MAX_LEAVES = 250_000
 
 
 class InvalidRates(ValueError):
@@ -116,21 +115,22 @@ def _as_object(key: str, value: str) -> Column:
     return F.to_variant_object(F.map_from_entries(F.collect_list(F.struct(key, value))))
 
 
-def fold_rates(
-    rates: DataFrame, order_by: str | None = None, max_leaves: int = MAX_LEAVES
-) -> DataFrame:
+def fold_rates(rates: DataFrame, order_by: str | None = None, parts: int = 1) -> DataFrame:
     """Nested documents: (bidder, part, document).
 
-    A bidder has one row, part 0, unless it holds more than ``max_leaves`` rates. Then its rates
-    are spread over several parts by key hash, so that no group outgrows a task; the parts have
-    no leaf in common and merge to the bidder's whole document. One shuffle, on bidder and part,
-    serves all three levels. An invalid row fails the query; ``check_rates`` also reports how many
-    there are and that there are rows at all.
+    With ``parts`` above 1 the rates of every bidder alike are spread over that many parts by key
+    hash, so that no group outgrows a task or the size limit of a VARIANT (128 MB); the parts have
+    no leaf in common and merge to the bidder's whole document. Choose it by the largest bidder.
+
+    One scan, and one shuffle on bidder and part for all three levels. An invalid row fails the
+    query; that there is no row at all is found, and raised, on the call. ``check_rates`` also
+    reports how many rows break which rule.
     """
+    if rates.isEmpty():
+        raise InvalidRates(EMPTY_RESULT_MESSAGE)
     leaves = distinct_leaves(_checked(rates), order_by)
-    sizes = leaves.groupBy("bidder").agg(F.ceil(F.count("*") / max_leaves).alias("parts"))
-    part = F.pmod(F.hash("continent", "country", "host"), F.col("parts")).cast("int")
-    placed = leaves.join(sizes, "bidder").withColumn("part", part).drop("parts")
+    part = F.pmod(F.hash("continent", "country", "host"), F.lit(parts)).cast("int")
+    placed = leaves.withColumn("part", part)
     countries = (
         placed.repartition("bidder", "part")
         .groupBy("bidder", "part", "continent", "country")
@@ -213,7 +213,8 @@ def document_lines(leaves: DataFrame, overrides: DataFrame | None = None) -> Dat
     Read in key order the lines are one JSON object. A line needs to know only whether it is the
     first or last of its country, continent, bidder and document; these come from minima and
     maxima, so no group is ever gathered and a bidder of any size is spread over many tasks.
-    ``leaves`` must have one row per key, as ``distinct_leaves`` gives.
+    ``leaves`` must have one row per key, as ``distinct_leaves`` gives. They are read twice: once,
+    when this is called, for the edges of every country, which are written, and once for the lines.
     """
     if overrides is not None:
         leaves = leaves.join(overrides.select("bidder"), "bidder", "left_anti")
@@ -223,7 +224,7 @@ def document_lines(leaves: DataFrame, overrides: DataFrame | None = None) -> Dat
             F.min(child).alias(f"first_{child}"), F.max(child).alias(f"last_{child}")
         )
 
-    countries = edges(leaves, COUNTRY_KEYS, "host")
+    countries = stage(edges(leaves, COUNTRY_KEYS, "host"), "edges")
     continents = edges(countries, COUNTRY_KEYS[:2], "country")
     bidders = edges(continents, COUNTRY_KEYS[:1], "continent")
     names = bidders.select("bidder")

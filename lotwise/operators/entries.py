@@ -13,7 +13,7 @@ from lotwise.functions.measures import (
     volume_class,
 )
 from lotwise.operators.counters import COUNTRY_KEYS, HOST_KEYS
-from lotwise.settings import HIGH, LOW, Settings
+from lotwise.settings import LOW, Settings
 
 
 def _last_day_known(rows: DataFrame) -> DataFrame:
@@ -31,34 +31,13 @@ def country_entries(rows: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def collapse_low_volume(rows: DataFrame, entries: DataFrame, settings: Settings) -> DataFrame:
-    """High entries as they are; low ones re-summed over the long window, one row per continent.
-
-    A semi-join keeps the groups that were low on the last day. Rows are summed per group before
-    it, so a group holding much of the data reaches the join as one row. No broadcast hint: the
-    number of groups follows the data, so the adaptive planner decides by the size it measures.
-    """
-    low_keys = entries.filter(F.col("volume_class") == LOW).select(*COUNTRY_KEYS)
-    merged = (
-        rows.filter(known_place())
-        .groupBy(*COUNTRY_KEYS)
-        .agg(*sums(settings))
-        .join(low_keys, list(COUNTRY_KEYS), "left_semi")
-        .withColumn("country", collapsed_country(settings))
-        .groupBy(*COUNTRY_KEYS)
-        .agg(*sums(settings))
-        .select(*COUNTRY_KEYS, *metric_columns(settings))
-    )
-    high = entries.filter(F.col("volume_class") == HIGH).drop("volume_class")
-    return merged.unionByName(high)
-
-
 def treated_entries(rows: DataFrame, settings: Settings) -> DataFrame:
-    """``collapse_low_volume(rows, country_entries(rows))`` in one pass over ``rows``.
+    """High last-day entries as they are; low ones re-summed over the long window and merged to one
+    row per continent, exempt countries apart.
 
     Last-day and long-window sums are taken side by side per country, so no second read and no
     join are needed. Grouping by the class as well keeps a raw country spelled like the merged
-    row's key apart from it, as the union above does.
+    row's key apart from it.
     """
     def last_day_sum(name: str) -> Column:
         return F.sum(F.when(F.col("last_day"), F.col(name))).alias(f"{name}_day")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lotwise.functions.measures import is_country_level
+from lotwise.functions.measures import is_country_level, is_host_level
 from lotwise.operators.counters import COUNTRY_KEYS, HOST_KEYS
 from lotwise.settings import DEFAULT, Settings
 
@@ -20,26 +20,35 @@ def union_levels(countries: DataFrame, hosts: DataFrame, settings: Settings) ->
     )
 
 
-def parent_rates(levels: DataFrame, rate: str = "rate") -> DataFrame:
-    """Rates of the country rows, which hosts are compared with."""
-    return levels.filter(is_country_level()).select(
-        *COUNTRY_KEYS, F.col(rate).alias("parent_rate")
-    )
+def counted_countries(countries: DataFrame) -> DataFrame:
+    """Country rows with ``repeats``, the number of rows of their key."""
+    same_key = Window.partitionBy(*COUNTRY_KEYS)
+    return countries.withColumn("repeats", F.count(F.lit(1)).over(same_key))
+
+
+def repeated_countries(countries: DataFrame) -> DataFrame:
+    """Counted country rows as often as there are rows of their key: comparing each with the
+    country rows of its key, as hosts are compared, multiplies a repeated one."""
+    copy = F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int")))
+    return countries.withColumn("_copy", copy).drop("repeats", "_copy")
+
 
+def differing_hosts(hosts: DataFrame, countries: DataFrame, rate: str = "rate") -> DataFrame:
+    """Host rows whose rate differs from a rate of their country.
 
-def drop_redundant_hosts(
-    levels: DataFrame, rate: str = "rate", parents: DataFrame | None = None
-) -> DataFrame:
+    A host without a country row is dropped. ``countries`` may be a written table: its size is then
+    known beforehand, and while that is below the broadcast threshold hosts need no shuffle.
+    """
+    parents = countries.select(*COUNTRY_KEYS, F.col(rate).alias("parent_rate"))
+    met = hosts.join(parents, list(COUNTRY_KEYS))
+    return met.filter(F.col(rate) != F.col("parent_rate")).drop("parent_rate")
+
+
+def drop_redundant_hosts(levels: DataFrame, rate: str = "rate") -> DataFrame:
     """Country rows, and host rows whose rate differs from their country's.
 
-    A host without a country row compares with NULL and is dropped. ``parents`` may be a written
-    copy of ``parent_rates(levels)``: its size is then known beforehand, and while that is below
-    the broadcast threshold the host rows need no shuffle.
+    Rows with the host ``default`` are country rows, whatever level they come from.
     """
-    if parents is None:
-        parents = parent_rates(levels, rate)
-    return (
-        levels.join(parents, list(COUNTRY_KEYS), "left")
-        .filter(is_country_level() | (F.col(rate) != F.col("parent_rate")))
-        .drop("parent_rate")
-    )
+    countries = counted_countries(levels.filter(is_country_level()))
+    hosts = differing_hosts(levels.filter(is_host_level()), countries, rate)
+    return repeated_countries(countries).unionByName(hosts)

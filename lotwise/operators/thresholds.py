@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lotwise.functions.measures import rounded
 from lotwise.settings import (
     FIXED,
     FIXED_THRESHOLD,
@@ -19,23 +18,27 @@ from lotwise.settings import (
 )
 
 
-def _place_statistics(entries: DataFrame, place: Sequence[str]) -> DataFrame:
+def _place_statistics(
+    entries: DataFrame, place: Sequence[str], repeated_keys: bool = False
+) -> DataFrame:
     """Places with a bidder above the floor: spread, count and method over such bidders, and the
     mean over all bidders.
 
     One aggregation gives all four, combined map-side, so a place with very many bidders is never
     one task's window. Rates have two decimals, so they are summed as decimals: the mean does not
-    depend on the order in which tasks finish.
+    depend on the order in which tasks finish. Only with ``repeated_keys`` may a bidder have several
+    entries in a place, which are then counted once, at the cost of a shuffle of their own.
     """
     above = F.col("top_bid_rate") > TOP_BID_RATE_FLOOR
     rate = F.when(above, F.col("top_bid_rate"))
     exact = F.col("top_bid_rate").cast("decimal(24,2)")
+    bidders = F.count_distinct(F.when(above, F.col("bidder"))) if repeated_keys else F.count_if(above)
     method = F.when(F.col("spread") > MAX_FIXED_SPREAD, VARIABLE).otherwise(FIXED)
     return (
         entries.groupBy(*place)
         .agg(
-            rounded(F.max(rate) - F.min(rate), 1).alias("spread"),
-            F.count_distinct(F.when(above, F.col("bidder"))).alias("bidders_above"),
+            F.round(F.max(rate) - F.min(rate), 1).alias("spread"),
+            bidders.alias("bidders_above"),
             (F.sum(exact).cast("double") / F.count(exact)).alias("mean_rate"),
         )
         .filter(F.col("spread").isNotNull())
@@ -43,9 +46,11 @@ def _place_statistics(entries: DataFrame, place: Sequence[str]) -> DataFrame:
     )
 
 
-def threshold_method(entries: DataFrame, place: Sequence[str]) -> DataFrame:
+def threshold_method(
+    entries: DataFrame, place: Sequence[str], repeated_keys: bool = False
+) -> DataFrame:
     """Method of each place that has a bidder above the floor."""
-    return _place_statistics(entries, place).drop("mean_rate")
+    return _place_statistics(entries, place, repeated_keys).drop("mean_rate")
 
 
 def thresholds(
@@ -57,10 +62,10 @@ def thresholds(
     entries sharing bidder and place: at country level a raw country may be spelled like the
     merged low-volume row, giving two rows; host entries are unique and need no window.
     """
-    statistics = _place_statistics(entries, place)
+    statistics = _place_statistics(entries, place, repeated_keys)
     if repeated_keys:
         entries = _merge_repeated(entries, place, settings)
-    variable = rounded(F.col("mean_rate") * THRESHOLD_SHARE, 0)
+    variable = F.round(F.col("mean_rate") * THRESHOLD_SHARE, 0)
     return (
         entries.join(statistics, list(place), "left")
         .withColumn(

@@ -5,46 +5,50 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lotwise.functions.measures import is_country_level, is_host_level
 from lotwise.operators.counters import HOST_KEYS, HOST_PLACE, PLACE, base_rollup, counters
-from lotwise.operators.entries import (
-    collapse_low_volume,
-    country_entries,
-    host_entries,
-    treated_entries,
+from lotwise.operators.entries import host_entries, treated_entries
+from lotwise.operators.levels import (
+    counted_countries,
+    differing_hosts,
+    repeated_countries,
+    union_levels,
 )
-from lotwise.operators.levels import drop_redundant_hosts, parent_rates, union_levels
 from lotwise.operators.rates import country_rates, host_rates, refine_rates
 from lotwise.operators.thresholds import thresholds
-from lotwise.settings import Settings
+from lotwise.settings import DEFAULT, Settings
 from lotwise.sources.events import check_columns
 from lotwise.sources.staging import stage
 
 
 def rate_levels(treated: DataFrame, hosts: DataFrame, settings: Settings) -> DataFrame:
     """Rates of both levels, before redundant hosts are dropped."""
-    countries = country_rates(
-        thresholds(treated, PLACE, settings, repeated_keys=True), settings
-    )
-    levels = union_levels(
-        countries, host_rates(thresholds(hosts, HOST_PLACE, settings), settings), settings
-    )
+    countries = country_rates(thresholds(treated, PLACE, settings, repeated_keys=True), settings)
+    own = host_rates(thresholds(hosts, HOST_PLACE, settings), settings)
+    levels = union_levels(countries, own, settings)
     return refine_rates(levels, settings) if settings.refined else levels
 
 
-def published_rates(levels: DataFrame, settings: Settings, staged: bool = False) -> DataFrame:
+def _host_filters(hosts: DataFrame, settings: Settings) -> DataFrame:
+    rates = host_rates(thresholds(hosts, HOST_PLACE, settings), settings)
+    return _filters(rates, settings)
+
+
+def _filters(rates: DataFrame, settings: Settings) -> DataFrame:
+    if settings.refined:
+        rates = refine_rates(rates, settings)
     rate = "refined_rate" if settings.refined else "rate"
-    parents = stage(parent_rates(levels, rate), "parents") if staged else None
-    kept = drop_redundant_hosts(levels, rate, parents)
-    return kept.select(*HOST_KEYS, F.col(rate).alias("filter"))
+    return rates.select(*HOST_KEYS, F.col(rate).alias("filter"))
 
 
 def rate_table(events: DataFrame, settings: Settings) -> DataFrame:
     """The whole job on one scan of the events.
 
-    Three tables are written on the way: the rollup, which both levels start from instead of the
-    events; the entries of both levels, which the rest reads several times and which leave out
-    hosts below the volume cut; and the rates of the country rows. No file of the entries mixes
-    levels, so reading one level skips the other's row groups.
+    Calling it runs jobs: three tables are written on the way, which the result reads. The rollup,
+    which both levels start from instead of the events; the entries of both levels, which leave
+    out hosts below the volume cut, no file of which mixes levels; and the finished country rows,
+    so that only host rows are left to be joined with them. ``freed_staging`` removes them after
+    use.
     """
     check_columns(events, settings)
     rollup = stage(base_rollup(counters(events, settings), settings), "rollup")
@@ -58,15 +62,14 @@ def rate_table(events: DataFrame, settings: Settings) -> DataFrame:
     )
     treated = entries.filter(F.col("level") == "country").drop("host", "level")
     hosts = entries.filter(F.col("level") == "host").drop("level")
-    return published_rates(rate_levels(treated, hosts, settings), settings, staged=True)
-
 
-def rate_table_by_scans(events: DataFrame, settings: Settings) -> DataFrame:
-    """Same rows, reading the events once per branch; for comparison with ``rate_table``."""
-    check_columns(events, settings)
-    rows = counters(events, settings)
-    treated = collapse_low_volume(rows, country_entries(rows, settings), settings)
-    return published_rates(rate_levels(treated, host_entries(rows, settings), settings), settings)
+    by_country = country_rates(thresholds(treated, PLACE, settings, repeated_keys=True), settings)
+    own = _filters(by_country.withColumn("host", F.lit(DEFAULT)), settings)
+    # A raw host spelled like a country row counts as one.
+    spelled = _host_filters(hosts.filter(is_country_level()), settings)
+    countries = stage(counted_countries(own.unionByName(spelled)), "countries")
+    named = _host_filters(hosts.filter(is_host_level()), settings)
+    return repeated_countries(countries).unionByName(differing_hosts(named, countries, "filter"))
 
 
 def in_key_order(rates: DataFrame) -> DataFrame:

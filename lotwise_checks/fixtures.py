@@ -22,21 +22,17 @@ RECORD_DATES = (
     "2026-01-05 00:00:00",
     "2026-01-05 23:59:59",
 )
-# Suppliers per unit of scale: the volume cut is 5000 per 10 suppliers, at any scale.
-REQUESTS_PER_SUPPLIER = 500
+# Customers of one host, so hosts grow with the data; and of the countries whose volume does not.
+CUSTOMERS_PER_HOST = 200
+CUSTOMERS_OF_SMALL_COUNTRIES = 150
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def volume_cut(spark: SparkSession, sf_dir: str) -> int:
-    return REQUESTS_PER_SUPPLIER * table(spark, sf_dir, "supplier").count()
-
-
-def fixture_settings(spark: SparkSession, sf_dir: str, variant: str) -> Settings:
-    preset = {"basic": basic, "refined": refined}[variant]
-    return preset(as_of=AS_OF, min_requests=volume_cut(spark, sf_dir))
+def fixture_settings(variant: str) -> Settings:
+    return {"basic": basic, "refined": refined}[variant](as_of=AS_OF)
 
 
 def _record_date() -> Column:
@@ -69,6 +65,8 @@ def bid_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         s8 * (1 + n % 4) + F.when(F.length("c_mktsegment") > 9, 9).otherwise(0)
     )
     no_requests = ((s8 == 5) & (n % 5 == 2)) | ((s8 == 0) & (n % 5 == 0))
+    host = F.floor(F.col("o_custkey") / CUSTOMERS_PER_HOST)
+    unplaced = (n % 5 == 3) & (F.col("o_custkey") > CUSTOMERS_OF_SMALL_COUNTRIES)
     cents = F.floor(F.col("l_extendedprice") * F.col("l_discount")).cast("bigint")
     revenue = (cents * F.lit("0.0001").cast("decimal(5,4)")).cast("decimal(18,4)")
     failed = (order % 11 == 0) | ((s8 == 3) & (n % 5 == 1))
@@ -82,11 +80,11 @@ def bid_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.col("r_name"))
         .alias("geo_continent"),
         F.when(part % 89 == 0, None)
-        .when((part % 89 == 1) | (n == 10), "nan")
+        .when((part % 89 == 1) | (n == 10) | unplaced, "nan")
         .when(n == 22, "RU")
         .otherwise(F.col("n_name"))
         .alias("geo_country"),
-        F.when(F.col("o_orderkey") % 6 != 0, F.concat(F.lower("c_mktsegment"), F.lit(".example")))
+        F.when(order % 6 != 0, F.concat(F.lit("h"), host.cast("string"), F.lit(".example")))
         .alias("host"),
         F.when(failed, "500").when(order % 11 == 1, "404").alias("error_code"),
         _record_date().alias("record_date"),

@@ -57,4 +57,4 @@ def load_duck(con, events):
 
 
 def oracle(own):
-    return Oracle(own, cut=str(own.min_requests), events=RAW)
+    return Oracle(own, events=RAW)

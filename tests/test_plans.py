@@ -7,11 +7,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from events import days_ago, event, frame, settings
-from lotwise.operators.counters import base_rollup, counters
+from lotwise.operators.counters import HOST_PLACE, base_rollup, counters
 from lotwise.operators.document import distinct_leaves, document_lines, fold_rates
+from lotwise.operators.entries import host_entries
+from lotwise.operators.thresholds import threshold_method
 from lotwise.plans import rate_table as plans
-from lotwise.plans.rate_table import rate_table, rate_table_by_scans
+from lotwise.plans.rate_table import rate_table
 from lotwise.sources.staging import stage
+from lotwise_checks import comparison
+from lotwise_checks.comparison import rate_table_by_scans
 
 VARIANTS = ["basic", "refined"]
 
@@ -84,7 +88,7 @@ def test_no_cross_join_no_python_and_no_hint(stored, variant):
 @pytest.mark.parametrize("variant", VARIANTS)
 def test_same_rates_without_broadcast_joins(spark, stored, variant):
     """Beyond the broadcast threshold the same rows come from shuffled joins."""
-    own = settings(variant, min_requests=15_000)
+    own = settings(variant, min_requests=9_000)
     expected = sorted(rate_table(stored, own).collect(), key=str)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
@@ -147,3 +151,51 @@ def test_folding_shuffles_once_for_all_levels(spark, tmp_path):
     assert plan.count("ObjectHashAggregate") + plan.count("SortAggregate") == 6
     above = plan.split("REPARTITION_BY_COL")[0]
     assert above.count("Exchange") == 1
+
+
+@pytest.fixture
+def shuffled_joins(spark):
+    """Without broadcasts and run-time changes every shuffle of a plan shows."""
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for name in names:
+        spark.conf.set(name, "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield
+    for name in (*names, "spark.sql.adaptive.enabled"):
+        spark.conf.unset(name)
+
+
+@pytest.mark.parametrize("variant", VARIANTS)
+def test_shuffles_of_the_last_stage(stored, variant, shuffled_joins):
+    """Only hosts pass through the join with their countries, and country rows are finished."""
+    plan = plan_of(rate_table(stored, settings(variant)))
+    assert plan.count("Exchange hashpartitioning") == 4
+    assert plan.count("Window") == 0
+
+
+@pytest.mark.parametrize("variant", VARIANTS)
+def test_the_comparison_scans_the_events_three_times(stored, variant, monkeypatch):
+    ran = []
+    monkeypatch.setattr(comparison, "stage", lambda df, *a: ran.append(df) or stage(df, *a))
+    ran.append(rate_table_by_scans(stored, settings(variant)))
+    source = re.search(r"stored\d*/events", stored.inputFiles()[0]).group()
+    assert sum(plan_of(df).count("FileScan") and formatted(df).count(source) for df in ran) <= 3
+
+
+def test_scans_of_folding_and_of_lines(spark, tmp_path, shuffled_joins):
+    path = str(tmp_path / "rates")
+    spark.range(50).selectExpr(
+        "concat('b', id % 3) bidder", "'EU' continent", "concat('K', id % 5) country",
+        "concat('h', id) host", "1.0D filter",
+    ).write.parquet(path)
+    rates = spark.read.parquet(path)
+    assert plan_of(fold_rates(rates)).count("FileScan") == 1
+    leaves = stage(distinct_leaves(rates), "leaves")
+    source = re.search(r"leaves-\w+", leaves.inputFiles()[0]).group()
+    assert formatted(document_lines(leaves)).count(source) == 1
+
+
+def test_host_statistics_need_one_shuffle(stored, shuffled_joins):
+    own = settings("basic")
+    hosts = stage(host_entries(counters(stored, own), own), "hosts")
+    assert plan_of(threshold_method(hosts, HOST_PLACE)).count("Exchange hashpartitioning") == 1

@@ -29,4 +29,4 @@ def test_every_query_has_sql():
 def test_entry_runs(spark):
     df = spec.entry(spark)
     assert df.columns == ["bidder", "continent", "country", "host", "filter"]
-    assert df.count() == 101
+    assert df.count() == 96

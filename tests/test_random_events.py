@@ -7,7 +7,8 @@ import pytest
 
 from compare import canonical, duck_rows, spark_rows
 from events import days_ago, event, frame, load_duck, oracle, settings
-from lotwise.plans.rate_table import rate_table, rate_table_by_scans
+from lotwise.plans.rate_table import rate_table
+from lotwise_checks.comparison import rate_table_by_scans
 
 # Requests are hundreds and few, so no ratio ends in a rounding tie a double cannot hold.
 AGES = [(0, 0), (1, 0), (1, 0), (1, 0), (1, 86_399), (2, 0), (4, 0), (5, 0), (6, 0), (7, 86_399)]
