@@ -1,0 +1,73 @@
+import random
+
+import pytest
+from compare import canonical, duck_rows, spark_rows
+from corpus import SF_DIR, duck
+from pyspark.sql import functions as F
+
+from lotwise.llm import hamming_search
+from lotwise.llm.hamming_search import top_k
+
+
+def brute_force(rows, asked, k):
+    """``rows`` are (identifier, vector); repeated ones count once."""
+    code = lambda v, n: tuple(x is not None and x == x and x > 0 for x in v) + (False,) * (n - len(v))
+    rows = [(i, v) for i, v in rows if i is not None and v is not None]
+    dims = max((len(v) for _, v in rows), default=0)
+    points = {(i, code(v, dims)) for i, v in rows}
+    out = set()
+    for i, c in points:
+        if asked(i):
+            far = sorted((sum(a != b for a, b in zip(c, d)), j) for j, d in points if (j, d) != (i, c))
+            out |= {(i, n, j, x) for n, (x, j) in enumerate(far[:k], 1)}
+    return out
+
+
+def found(df):
+    return {(r["query_id"], r["rank"], r["vec_id"], r["distance"]) for r in df.collect()}
+
+
+def test_query_equals_sql(spark):
+    got = canonical(*spark_rows(hamming_search.query(spark, SF_DIR)))
+    assert got == canonical(*duck_rows(duck(), hamming_search.ORACLE))
+
+
+@pytest.mark.parametrize("dims, near", [(20, False), (64, True), (100, True)])
+def test_against_brute_force(spark, dims, near):
+    rng = random.Random(dims)
+    centres = [[rng.choice((-1.0, 1.0)) for _ in range(dims)] for _ in range(4)]
+    rows = []
+    for i in range(120):
+        v = list(rng.choice(centres))
+        for _ in range(rng.randint(0, 3) if near else dims):
+            v[rng.randrange(dims)] *= -1
+        rows.append((i, v))
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = found(top_k(table, F.col("vec_id") % 20 == 0, k=4))
+    assert got == brute_force(rows, lambda i: i % 20 == 0, 4)
+
+
+def test_a_code_shared_by_very_many_rows(spark):
+    rows = [(i, [1.0] * 16) for i in range(300)] + [(1000 + i, [-1.0] * 15 + [1.0]) for i in range(3)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = found(top_k(table, F.col("vec_id") % 100 == 0, k=3))
+    assert got == brute_force(rows, lambda i: i % 100 == 0, 3)
+
+
+def test_nulls_repeated_rows_short_vectors_and_few_rows(spark):
+    rows = [(0, [1.0, 1.0]), (0, [1.0, 1.0]), (1, [1.0]), (2, None), (None, [1.0]), (20, [None, float("nan"), 0.5]), (3, [])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("rank", F.lit("x"))
+    got = found(top_k(table, F.col("vec_id") % 20 == 0, k=10))
+    assert got == brute_force(rows, lambda i: i % 20 == 0, 10)
+    assert top_k(table.limit(0), F.col("vec_id") % 20 == 0).collect() == []
+
+
+def test_steps_cover_one_bit_each():
+    """Of any difference in t bits, step t or one before it has searched some segment far enough."""
+    rng = random.Random(2)
+    for _ in range(2000):
+        spread = [rng.randint(0, 5) for _ in range(4)]
+        t = sum(spread)
+        assert any(spread[j] <= s for s, j in (divmod(step, 4) for step in range(t + 1)))
+    steps = [t for r in hamming_search._rounds(4) for t in r]
+    assert steps == list(range(4 * 17))

@@ -1,0 +1,105 @@
+import itertools
+import random
+import re
+import time
+from html import unescape
+
+from corpus import SF_DIR
+from pyspark.sql import functions as F
+
+from lotwise.llm import html_extract
+from lotwise.llm.html_extract import extract, main_text, minimum_cut
+
+
+def article(html):
+    """Headline and paragraphs of the test pages, by what their generator writes."""
+    inside = re.search(r"<article>(.*?)(?:</article>|$)", html, re.S)[1]
+    parts = [re.sub("</?b>", "", p.replace("<br>", " ")) for p in re.split("</?p>|</?h1>", inside)]
+    parts = [" ".join(unescape(p).split()) for p in parts]
+    return "\n\n".join(p for p in parts if p)
+
+
+def test_query_over_all_pages(spark):
+    pages = {r["page_id"]: r for r in spark.read.parquet(f"{SF_DIR}/pages.parquet").collect()}
+    rows = html_extract.query(spark, SF_DIR).collect()
+    assert sorted(r["page_id"] for r in rows) == sorted(pages)
+    for r in rows:
+        assert r["text"] == article(pages[r["page_id"]]["html"])
+        assert (r["n_chars"], r["url"]) == (len(r["text"]), pages[r["page_id"]]["url"])
+
+
+def test_boilerplate_of_many_kinds():
+    html = (
+        "<!DOCTYPE html><html><head><title>t</title><style>p{}</style></head><body>"
+        "<header><a href=/>Home</a> <p>A site about many things, which is nice to have.</p></header>"
+        '<div class="cookie-notice"><p>We use cookies. Accept them all, please, thank you.</p></div>'
+        "<main><h1>The headline</h1><p>Short.</p><p>A second paragraph, with more words in it.</p>"
+        "<aside><p>A sidebar sentence, which is long enough to look like text.</p></aside>"
+        '<div id="ad-slot-3"><p>Buy this now, it is cheap and it is really good for you.</p></div>'
+        "<script>var t='</p>';</script><p>The end &amp; done&nbsp;now &#169;.</p>"
+        "<form><label>Your name, please</label><input><button>Send it now</button></form></main>"
+        '<section class="comments"><p>I liked this post very much, thank you for it.</p></section>'
+        "<nav><ul><li><a href=/a>One</a><li><a href=/b>Two</a></ul></nav>"
+        "<footer><p>Some words about the owner of this site, all of them true.</p></footer></body></html>"
+    )
+    assert main_text(html)[0] == (
+        "The headline\n\nShort.\n\nA second paragraph, with more words in it.\n\nThe end & done now ©."
+    )
+
+
+def test_inline_elements_line_breaks_and_nested_comments():
+    html = (
+        "<article><p>foo<b>bar</b> <a href=x>baz</a><br>qux\n \t end.</p><!-- <p>no</p> -->"
+        "<div class='reader-comments'><article><p>A comment that is long enough, by a reader.</p></article></div>"
+    )
+    assert main_text(html)[0] == "foobar baz qux end."
+
+
+def test_broken_markup():
+    assert main_text("<article><p class=it's>One is here and it's ok.</p><p title=\"a<b\">Two is it.</p>")[0] == (
+        "One is here and it's ok.\n\nTwo is it."
+    )
+    assert main_text("<article><p>One is here.<p>Two, an unfinished <p cla")[0] == "One is here.\n\nTwo, an unfinished"
+    assert main_text("<article><p>x < y and y > z, a sentence.</p></b></i></div>")[0] == "x < y and y > z, a sentence."
+    assert main_text("<article><p>kept</p><script>never closed <p>not this")[0] == "kept"
+
+
+def test_pages_without_text():
+    assert [main_text(x)[0] for x in (None, "", " \n", "<p>", "<!-- x", "<nav>Menu</nav>")] == [""] * 6
+
+
+def test_reading_stays_linear():
+    start = time.process_time()
+    for page in ("<" * 10**5, '<a "' * 50000, "<a b='" * 20000, "<div>" * 30000 + "</p>" * 30000, "<p>a " * 20000):
+        main_text(page)
+    assert time.process_time() - start < 30
+
+
+def cost(costs, edges, label):
+    own = sum(max(0, -c) if kept else max(0, c) for c, kept in zip(costs, label))
+    return own + sum(c for u, v, c in edges if label[u] != label[v])
+
+
+def test_minimum_cut_against_all_labellings():
+    rng = random.Random(3)
+    for _ in range(800):
+        n = rng.randint(1, 8)
+        costs = [rng.randint(-6, 6) for _ in range(n)]
+        edges = [(u, v, rng.randint(0, 5)) for u in range(n) for v in range(u + 1, n) if rng.random() < 0.45]
+        best = min(cost(costs, edges, x) for x in itertools.product((False, True), repeat=n))
+        assert cost(costs, edges, minimum_cut(costs, edges)) == best
+
+
+def test_smoothness_decides_what_the_classifier_leaves_open():
+    assert minimum_cut([300, -20, 300], [(0, 1, 90), (1, 2, 90)]) == [True, True, True]
+    assert minimum_cut([-300, 20, -300], [(0, 1, 90), (1, 2, 90)]) == [False, False, False]
+    assert minimum_cut([300, -900, 300], [(0, 1, 90), (1, 2, 90)]) == [True, False, True]
+
+
+def test_repeated_rows_clashing_names_and_empty_tables(spark):
+    rows = [(1, "<article><p>Words are here.</p>", "mine")] * 2 + [(None, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, html string, text string")
+    got = extract(pages)
+    assert got.columns == ["page_id", "text", "n_chars", "n_blocks", "n_kept"]
+    assert sorted((r["text"], r["n_chars"]) for r in got.collect()) == [("", 0)] + [("Words are here.", 15)] * 2
+    assert extract(pages.filter(F.lit(False))).collect() == []
