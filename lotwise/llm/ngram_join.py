@@ -147,18 +147,23 @@ def _prefix_size(percent: int) -> Column:
 
 
 def _list_postings(classes: DataFrame, percent: int) -> DataFrame:
+    """Every shingle of the prefix with its place and the shingle before it."""
     prefix = F.slice("prefix", F.lit(1), _prefix_size(percent))
-    return classes.select("cls", "n", F.posexplode(prefix).alias("pos", "key"))
+    rows = classes.select("cls", "n", "prefix", F.posexplode(prefix).alias("pos", "key"))
+    prev = F.when(F.col("pos") > 0, F.get("prefix", F.col("pos") - 1)).alias("prev")
+    return rows.select("cls", "n", "pos", "key", prev)
 
 
 def _subset_postings(classes: DataFrame) -> DataFrame:
-    """Keys of all pairs of shingles of the prefix that is longer by one."""
+    """Keys of all pairs of shingles of the prefix that is longer by one, with the place of the
+    first and the shingles before the first and, if there is one between, before the second."""
     pairs = F.expr(
         "flatten(transform(sequence(1, size(prefix) - 1), i -> transform(sequence(i + 1, size(prefix)),"
-        " j -> struct(i - 1 AS pos, xxhash64(prefix[i - 1], prefix[j - 1]) AS key))))"
+        " j -> struct(i - 1 AS pos, xxhash64(prefix[i - 1], prefix[j - 1]) AS key,"
+        " get(prefix, i - 2) AS prev, CASE WHEN j > i + 1 THEN prefix[j - 2] END AS between))))"
     )
     rows = classes.filter(F.size("prefix") > 1).select("cls", "n", F.explode(pairs).alias("p"))
-    return rows.select("cls", "n", "p.pos", "p.key")
+    return rows.select("cls", "n", "p.*")
 
 
 def boundary(classes: DataFrame, lists: DataFrame, percent: int) -> int:
@@ -185,26 +190,36 @@ def _shared_keys(postings: DataFrame) -> DataFrame:
 
 
 def candidates(classes: DataFrame, percent: int, limit: int | None = None) -> DataFrame:
-    """Postings of keys that several classes share: ``key``, ``cls``, ``n``, ``pos``.
+    """Postings of keys that several classes share: ``key``, ``cls``, ``n``, ``pos``, ``prev``,
+    ``between`` and ``own``, the number of shingles that no other class has in its prefix.
 
     Every two similar classes share a key. ``limit`` sets the boundary instead of the cost.
     """
     postings = _list_postings(classes, percent)
     lists = stage(_shared_keys(postings), "lists")
     limit = boundary(classes, lists, percent) if limit is None else limit
-    heavy = postings.filter(F.col("n") * 100 > limit * percent).join(lists, "key")
+    met = stage(postings.join(lists.select("key"), "key"), "met")
+    own = (_prefix_size(percent) - F.count(F.lit(1))).alias("own")
+    own = stage(met.groupBy("cls", "n").agg(own).select("cls", "own"), "own")
+    heavy = met.filter(F.col("n") * 100 > limit * percent)
     subsets = _subset_postings(classes.filter(F.col("n") <= limit))
-    light = subsets.join(stage(_shared_keys(subsets), "subsets"), "key")
-    columns = ["key", "cls", "n", "pos"]
-    return stage(heavy.select(columns).union(light.select(columns)), "postings")
+    light = subsets.join(stage(_shared_keys(subsets), "subsets").select("key"), "key")
+    columns = ["key", "cls", "n", "pos", "prev", "between"]
+    heavy = heavy.withColumn("between", F.lit(None).cast("long"))
+    found = heavy.select(columns).union(light.select(columns)).join(own, "cls")
+    return stage(found.select(*columns, "own"), "postings")
 
 
 def _possible(left: str, right: str, percent: int) -> Column:
-    """Whether sizes and places in the order allow two members of a key to be similar."""
+    """Whether two members of a key may be similar, if it is the first shingle in the order that
+    they share, or the first two: then neither has any of the other's before it. Similar sets pass
+    at their first key; at later ones they need not, and do not if the shingle before is the same."""
     n, m, i, j = (F.col(f"{side}.{c}") for c in ("n", "pos") for side in (left, right))
-    shared = F.least(i, j) + 1 + F.least(n - i - 1, m - j - 1)
+    shared = F.least(n - i, m - j)
     sizes = F.least(n, m) * 100 >= F.greatest(n, m) * percent
-    return sizes & (shared * (100 + percent) >= (n + m) * percent)
+    later = [F.col(f"{left}.{c}") == F.col(f"{right}.{c}") for c in ("prev", "between")]
+    first = ~F.coalesce(later[0], F.lit(False)) & ~F.coalesce(later[1], F.lit(False))
+    return sizes & first & (shared * (100 + percent) >= (n + m) * percent)
 
 
 def _pair(left: str, right: str) -> list[Column]:
@@ -213,8 +228,9 @@ def _pair(left: str, right: str) -> list[Column]:
 
 
 def star_pairs(postings: DataFrame, percent: int) -> DataFrame:
-    """Every member of a key with one member of it."""
-    centre = postings.groupBy("key").agg(F.min(F.struct("cls", "n", "pos")).alias("centre"))
+    """Every member of a key with the one that has the fewest shingles of its own, in a group of
+    near copies the one they were made from."""
+    centre = postings.groupBy("key").agg(F.min(F.struct("own", "cls", "n", "pos", "prev", "between")).alias("centre"))
     rows = postings.alias("x").join(centre.select("key", "centre.*").alias("c"), "key")
     apart = F.col("x.cls") != F.col("c.cls")
     return rows.filter(apart & _possible("x", "c", percent)).select(*_pair("x", "c")).distinct()
