@@ -169,10 +169,11 @@ def _subset_postings(classes: DataFrame) -> DataFrame:
 def boundary(classes: DataFrame, lists: DataFrame, percent: int) -> int:
     """The largest size for which enumerating subsets costs less than scanning lists.
 
-    A subset costs one posting. A list posting costs itself and the share of its list, on average
-    over all postings. Sets just below the boundary also enter lists, for larger partners.
+    A subset costs one posting. A list posting costs itself and, where its list has more than one
+    member, one check against the centre of the list. Sets just below the boundary also enter
+    lists, for larger partners.
     """
-    met = lists.agg(F.sum(F.col("len") * (F.col("len") - 1))).first()[0] or 0
+    met = lists.agg(F.sum("len")).first()[0] or 0
     p, n = _prefix_size(percent).cast("double"), F.col("n")
     light = [F.sum(F.when(n <= x, p * (p + 1) / 2).otherwise(0.0)) for x in BOUNDARIES]
     heavy = [F.sum(F.when(n * 100 > x * percent, p).otherwise(0.0)) for x in BOUNDARIES]
