@@ -27,8 +27,11 @@ VARIABLE = "<*>"
 
 
 def masked(line: Column) -> Column:
-    """A line without outer white space, its tokens with digits made variable."""
-    token = f"[^{_SPACE}]*[0-9][^{_SPACE}]*"
+    """A line without outer white space, its tokens with digits made variable.
+
+    The pattern starts at the start of a token only and never steps back, so it is linear.
+    """
+    token = f"(?<![^{_SPACE}])[^{_SPACE}0-9]*+[0-9][^{_SPACE}]*+"
     return F.regexp_replace(F.btrim(line, F.lit(SPACE)), token, VARIABLE)
 
 
@@ -52,11 +55,12 @@ def _signed(rows: DataFrame, depth: int) -> DataFrame:
     """Of every row: place, leaf and signature of each of its lines that are not blank."""
     line = F.transform(_lines(F.col("_text")), lambda x, i: F.struct(i.alias("pos"), masked(x).alias("m")))
     kept = F.filter(line, lambda x: x["m"] != "")
+    cut = F.transform(kept, lambda x: x.withField("words", tokens(x["m"])))
     signed = F.transform(
-        kept,
+        cut,
         lambda x: F.struct(
             x["pos"].alias("pos"),
-            _leaf(tokens(x["m"]), depth).alias("leaf"),
+            _leaf(x["words"], depth).alias("leaf"),
             _signature(x["m"]).alias("sig"),
         ),
     )
@@ -68,7 +72,8 @@ def _leaf_members(rows: DataFrame, signatures: DataFrame, depth: int) -> DataFra
     leaves = signatures.groupBy("leaf").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
     wanted = signatures.join(leaves, "leaf", "left_semi").select("leaf", "sig", "docs")
     texts = rows.select(F.explode(F.array_distinct(F.transform(_lines(F.col("_text")), masked))).alias("m"))
-    texts = texts.filter("m != ''").select("m", _leaf(tokens(F.col("m")), depth).alias("leaf"))
+    texts = texts.filter("m != ''").withColumn("words", tokens(F.col("m")))
+    texts = texts.select("m", _leaf(F.col("words"), depth).alias("leaf"))
     texts = texts.join(leaves.select("leaf"), "leaf", "left_semi").groupBy("m").agg(F.count(F.lit(1)))
     found = texts.select(_signature(F.col("m")).alias("sig"), tokens(F.col("m")).alias("words"))
     return stage(found.join(wanted, "sig"), "leaf-members")
