@@ -24,8 +24,10 @@ STATE = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # All stores of one executor share this much memory outside the heap.
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64",
 }
+# Rows of the ledger for which one store is opened, as long as shuffles have that many partitions.
+ROWS_PER_STORE = 50_000
 # Bytes of the ledger in one micro-batch.
 BATCH_BYTES = 16 << 30
 
@@ -34,7 +36,9 @@ def sha256(text: Column) -> Column:
     return F.sha2(F.coalesce(text, F.lit("")), 256)
 
 
-def fold_stream(ledger: DataFrame, path: str, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+def fold_stream(
+    ledger: DataFrame, path: str, rows: int, batch_bytes: int = BATCH_BYTES
+) -> DataFrame:
     """The state after all of the ledger at ``path``: ``_digest``, ``_keep`` and ``_seen``.
 
     ``_keep`` is identifier, file and row of the largest identifier. The fold combines rows in
@@ -43,12 +47,13 @@ def fold_stream(ledger: DataFrame, path: str, batch_bytes: int = BATCH_BYTES) ->
     spark = ledger.sparkSession
     checkpoint = staged_path(spark, "dedup-state")
     streaming = spark.newSession()
-    partitions = spark.conf.get("spark.sql.shuffle.partitions")
-    for key, value in {**STATE, "spark.sql.shuffle.partitions": partitions}.items():
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stores = min(most, -(-rows // ROWS_PER_STORE))
+    for key, value in {**STATE, "spark.sql.shuffle.partitions": str(stores)}.items():
         streaming.conf.set(key, value)
-    rows = streaming.readStream.schema(ledger.schema).option("maxBytesPerTrigger", batch_bytes)
+    entries = streaming.readStream.schema(ledger.schema).option("maxBytesPerTrigger", batch_bytes)
     folded = (
-        rows.parquet(path)
+        entries.parquet(path)
         .groupBy("_digest")
         .agg(F.max(F.struct("_id", *PLACE)).alias("keep"), F.count(F.lit(1)).alias("seen"))
     )
@@ -95,11 +100,12 @@ def _judge(docs: DataFrame, digest, batch_bytes: int) -> DataFrame:
     path = staged_path(spark, "dedup-ledger")
     docs.select("_id", digest(F.col("_body")).alias("_digest"), *PLACE).write.parquet(path)
     ledger = spark.read.parquet(path)
-    if ledger.isEmpty():
+    rows = ledger.count()
+    if not rows:
         one = F.lit(1).cast("long")
         groups = ledger.select("_digest", F.struct("_id", *PLACE).alias("_keep"), one.alias("_seen"))
     else:
-        groups = fold_stream(ledger, path, batch_bytes)
+        groups = fold_stream(ledger, path, rows, batch_bytes)
     other = stage(colliding(docs, groups, digest), "dedup-collisions")
 
     less = other.groupBy("_digest").agg(F.count(F.lit(1)).alias("_less"))
@@ -107,14 +113,14 @@ def _judge(docs: DataFrame, digest, batch_bytes: int) -> DataFrame:
         F.max(F.struct("_id", *PLACE)).alias("_apart"), F.count(F.lit(1)).alias("_size")
     )
     apart = other.join(apart, ["_digest", "_body"]).select(*PLACE, "_apart", "_size")
-    rows = (
+    judged = (
         ledger.join(groups, "_digest", "left")
         .join(less, "_digest", "left")
         .join(apart, list(PLACE), "left")
     )
     keep = F.coalesce("_apart", "_keep")
     size = F.coalesce("_size", F.col("_seen") - F.coalesce("_less", F.lit(0)))
-    return rows.select(
+    return judged.select(
         "_id",
         *PLACE,
         keep["_id"].alias("keep_id"),
