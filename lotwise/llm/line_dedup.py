@@ -3,10 +3,11 @@
 A line is cut into tokens at white space, and tokens with a digit are variable from the start. The
 first level of the tree is the number of tokens, the next ones are the leading tokens. In each
 leaf the tokens are counted by position over its documents: one that holds a majority stays
-constant, every other position becomes variable. If enough positions are constant this is the
-template of the leaf, and lines that agree with it on nearly all of them belong to it; any other
-line is a template of its own. A template found in several documents is dropped from all but the
-first of them.
+constant, every other position becomes variable. If enough positions are constant this is a
+template of the leaf, lines that agree with it on nearly all of them belong to it, and the lines
+left are counted anew. If there is no such template the leaf is split, each line going with the
+most frequent token it has, until no part has two different lines. A line without a template is
+one of its own. A template found in several documents is dropped from all but the first of them.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ CONSTANT, DIFFERENT = 8, 2
 SPACE = " \t\x0b\x0c\r"
 _SPACE = r" \t\x0B\f\r"
 VARIABLE = "<*>"
+# Tokens a part is split by at once; lines with none of them stay together and are split next.
+RANKED = 64
 
 
 def masked(line: Column) -> Column:
@@ -79,25 +82,57 @@ def _leaf_members(rows: DataFrame, signatures: DataFrame, depth: int) -> DataFra
     return stage(found.join(wanted, "sig"), "leaf-members")
 
 
-def _templates(members: DataFrame) -> DataFrame:
-    """The template of each leaf that has one: ``leaf`` and its ``constants`` by position."""
-    heard = members.groupBy("leaf").agg(F.sum("docs").alias("heard"), F.max(F.size("words")).alias("n"))
-    votes = members.select("leaf", "docs", F.posexplode("words").alias("pos", "word"))
-    votes = votes.groupBy("leaf", "pos", "word").agg(F.sum("docs").alias("votes"))
-    constants = votes.join(heard, "leaf").filter(F.col("votes") * 2 > F.col("heard"))
-    constants = constants.groupBy("leaf", "n").agg(
-        F.count(F.lit(1)).alias("found"), F.collect_list(F.struct("pos", "word")).alias("constants")
+def _judged(members: DataFrame) -> DataFrame:
+    """Of the members of each ``part`` that has several: whether each ``fits`` the template of its
+    part, if there is one, and the part it is in if the part is split, null if it is alone there."""
+    heard = members.groupBy("part").agg(
+        F.sum("docs").alias("heard"), F.count(F.lit(1)).alias("kinds"), F.max(F.size("words")).alias("n")
     )
-    return constants.filter(F.col("found") * 10 >= F.col("n") * CONSTANT).select("leaf", "constants")
+    votes = members.select("part", "docs", F.posexplode("words").alias("pos", "word"))
+    votes = votes.groupBy("part", "pos", "word").agg(F.sum("docs").alias("votes"), F.count(F.lit(1)).alias("have"))
+    counted = votes.filter("have > 1 or votes > 1").join(heard.filter("kinds > 1"), "part")
+    constant = F.col("votes") * 2 > F.col("heard")
+    dividing = (F.col("have") > 1) & (F.col("have") < F.col("kinds"))
+    found = counted.groupBy("part", "n").agg(
+        F.collect_list(F.when(constant, F.struct("pos", "word"))).alias("constants"),
+        F.sort_array(
+            F.collect_list(F.when(dividing, F.struct((-F.col("votes")).alias("order"), "pos", "word")))
+        ).alias("ranked"),
+    )
+    general = F.size("constants") * 10 >= F.col("n") * CONSTANT
+    found = found.select(
+        "part",
+        F.when(general, F.col("constants")).alias("constants"),
+        F.slice("ranked", 1, RANKED).alias("ranked"),
+        (F.size("ranked") > RANKED).alias("more"),
+    )
+    differ = F.size(F.filter("constants", lambda c: F.get(F.col("words"), c["pos"]) != c["word"]))
+    fits = F.col("constants").isNotNull() & (differ * 10 <= F.size("words") * DIFFERENT)
+    own = F.get(F.filter("ranked", lambda c: F.get(F.col("words"), c["pos"]) == c["word"]), F.lit(0))
+    split = F.when(own.isNotNull(), F.xxhash64("part", own["pos"], own["word"])).when(
+        F.col("more"), F.xxhash64("part", F.lit(-1))
+    )
+    return members.join(found, "part").select("part", "sig", "words", "docs", fits.alias("fits"), split.alias("split"))
 
 
 def _fitting(members: DataFrame) -> DataFrame:
-    """Signatures of lines that belong to the template of their leaf: ``sig`` and ``leaf``."""
-    differ = F.size(
-        F.filter("constants", lambda c: F.get(F.col("words"), c["pos"]) != c["word"])
-    )
-    met = members.join(_templates(members), "leaf")
-    return met.filter(differ * 10 <= F.size("words") * DIFFERENT).select("sig", "leaf")
+    """Signatures of lines that belong to a template of their leaf: ``sig`` and ``template``.
+
+    A round takes the template of each part from it, or splits the part by a token that some of
+    its lines have and others have not, so every part becomes smaller until no two lines are left.
+    """
+    members, found, number = members.withColumnRenamed("leaf", "part"), None, 0
+    while True:
+        judged = stage(_judged(members), "judged")
+        fitting = judged.filter("fits").select("sig", F.xxhash64("part", F.lit(number)).alias("template"))
+        found = found.union(fitting) if found else fitting
+        if judged.isEmpty():
+            return found
+        templates = judged.filter("fits").select("part").distinct().withColumn("met", F.lit(True))
+        rest = judged.filter("not fits").join(templates, "part", "left")
+        part = F.when(F.col("met"), F.col("part")).otherwise(F.col("split"))
+        members = rest.select(part.alias("part"), "sig", "words", "docs").filter("part is not null")
+        number += 1
 
 
 def recurring(rows: DataFrame, signed: DataFrame, depth: int, min_docs: int) -> DataFrame:
@@ -110,11 +145,11 @@ def recurring(rows: DataFrame, signed: DataFrame, depth: int, min_docs: int) ->
     signatures = stage(signatures, "signatures")
     fitting = stage(_fitting(_leaf_members(rows, signatures, depth)), "fitting")
 
-    shared = own.join(fitting.select("sig"), "sig", "left_semi").select("leaf", "row").distinct()
-    shared = shared.groupBy("leaf").agg(F.count(F.lit(1)).alias("docs"), F.min("row").alias("first"))
-    of_leaf = fitting.join(shared, "leaf").select("sig", "docs", "first")
+    shared = own.join(fitting, "sig").select("template", "row").distinct()
+    shared = shared.groupBy("template").agg(F.count(F.lit(1)).alias("docs"), F.min("row").alias("first"))
+    of_template = fitting.join(shared, "template").select("sig", "docs", "first")
     of_line = signatures.join(fitting, "sig", "left_anti").select("sig", "docs", "first")
-    return of_leaf.union(of_line).filter(F.col("docs") >= min_docs)
+    return of_template.union(of_line).filter(F.col("docs") >= min_docs)
 
 
 def dedup_lines(

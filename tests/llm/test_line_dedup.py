@@ -31,6 +31,26 @@ def test_words_that_vary_are_generalised_by_the_majority(spark):
     }
 
 
+def test_a_leaf_has_several_templates(spark):
+    first = "served to you by the host named {} in this very town today"
+    other = "served to you on a plate of {} with cold milk and bread"
+    names = ["alpha", "beta", "gamma", "delta"]
+    got = cleaned(spark, [f"unique {n * 2}\n{first.format(n)}\n{other.format(n)}" for n in names])
+    assert got[0].count("\n") == 2
+    assert all(got[i] == f"unique {n * 2}" for i, n in enumerate(names) if i)
+
+
+def test_a_template_is_found_beside_copied_and_unrelated_lines(spark):
+    line = "served to you by the host named {} in this very town today"
+    copied = "served to you as it was asked for by all our guests"
+    unrelated = [f"served to you {' '.join(w * (i + 2) for w in 'abcdefghi')}" for i in range(6)]
+    texts = [line.format(n) for n in ("alpha", "beta", "gamma", "delta")] + [copied] * 9 + unrelated
+    got = cleaned(spark, texts)
+    assert [got[i] for i in range(4)] == [texts[0], "", "", ""]
+    assert [got[i] for i in range(4, 13)] == [copied] + [""] * 8
+    assert [got[i] for i in range(13, 19)] == unrelated
+
+
 def test_unrelated_lines_with_the_same_beginning_stay(spark):
     texts = ["the and of red birds fly over hills", "the and of blue boats sink under waves"]
     assert cleaned(spark, texts) == dict(enumerate(texts))
