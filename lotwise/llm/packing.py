@@ -12,6 +12,7 @@ sequences of the total length divided by the capacity.
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -32,6 +33,11 @@ SEPARATOR = 0
 SPECIAL, SPECIAL_ID = "<|endoftext|>", 50256
 PIECES_PER_GROUP = 32768
 CACHED_CHUNKS = 400_000
+# What the vocabulary's pattern takes for white space. It steps back over runs of it
+# and overflows at about a million characters, so long runs are cut by its rule beforehand.
+_WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LONG = 10_000
+LONG_RUN = re.compile(f"(?<![{_WHITE}])[{_WHITE}]{{{LONG},}}+")
 
 
 class ChunkIds(dict):
@@ -48,13 +54,23 @@ class ChunkIds(dict):
         )
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.encoding.encode_ordinary(text), dtype="<u4").tobytes()
+        if len(text) < LONG:
+            return np.array(self.encoding.encode_ordinary(text), dtype="<u4").tobytes()
+        ids, at = [], 0
+        for run in LONG_RUN.finditer(text):
+            # A run is one piece without its last character, which goes with what follows it.
+            end = run.end() - (run.end() < len(text))
+            ids += self.encoding.encode_ordinary(text[at : run.start()])
+            ids += self.encoding._encode_single_piece(text[run.start() : end])
+            at = end
+        ids += self.encoding.encode_ordinary(text[at:])
+        return np.array(ids, dtype="<u4").tobytes()
 
     def __missing__(self, chunk: str) -> bytes | None:
         if not chunk or chunk[0].isspace() or chunk[-1].isspace():
             ids = None
         else:
-            ids = array("I", self.encoding.encode_ordinary(" " + chunk)).tobytes()
+            ids = self.whole(" " + chunk)
         if len(self) >= CACHED_CHUNKS:
             self.clear()
         self[chunk] = ids

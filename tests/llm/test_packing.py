@@ -7,7 +7,7 @@ import pytest
 from corpus import SF_DIR, documents
 from tokenizers import Tokenizer
 
-from lotwise.llm.packing import cut, pack_documents, sum_of_squares
+from lotwise.llm.packing import cut, encoder, pack_documents, sum_of_squares
 
 ODD = [
     None, "", "a  b   c\n\n d \n e\t\tf ", "x<|endoftext|>y <|endoftext|> z", " lead", "  lead two",
@@ -57,6 +57,12 @@ def test_odd_texts_give_the_ids_of_the_tokenizer(spark, tokenizer):
     check(pack_documents(documents(spark, ODD)).collect(), dict(enumerate(ODD)), tokenizer)
 
 
+@pytest.mark.parametrize("text", [" " * 2_000_000 + "a", "b" + "\n" * 2_000_000, "c d" + " \t" * 1_000_000 + "e f", "g h" + "\n" * 2_000_000 + "i j"])
+def test_long_white_space_gives_the_ids_of_the_tokenizer(tokenizer, text):
+    own = encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    assert own.ids(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
 def test_cut():
     parts = [(s, len(p) // 4) for s, p in cut(b"\0" * 4 * 9, 4)]
     assert parts == [(0, 1), (1, 4), (5, 4)]
