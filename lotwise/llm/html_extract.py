@@ -65,15 +65,18 @@ BAD = re.compile(
 # same element behind something else.
 BESIDE, APART, RESUMED = 90, 45, 60
 
-# A tag with quoted values; one with a stray quote; one with "<" in a value, of bounded length so
-# that reading stays linear; an unfinished one.
+# A tag with quoted values and no "<" in them; the beginning of any other, whose end is found by
+# ``_tag_end``; markup that is no element; an unfinished tag.
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/><]*+)((?:[^<>\"']++|\"[^\"<]*+\"|'[^'<]*+')*+>|[^<>]*+>"
-    r"|(?:[^<>\"']++|\"[^\"]{0,300}+\"|'[^']{0,300}+'){1,20}+>)"
+    r"|<(/?)([a-zA-Z][^\s/><]*+)((?:[^<>\"']++|\"[^\"<]*+\"|'[^'<]*+')*+>|(?=[^<>]*+[<>]))"
     r"|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^<>]*\Z",
     re.S,
 )
+_ATTRIBUTE = re.compile(r"[\s/]*+=?[^\s/<>=]++(?:\s*+=\s*+(?:([\"'])|[^\s<>]*+))?+|[\s/]*+=")
+_CLOSED = re.compile(r"[\s/]*+>")
+_STRAY = re.compile(r"[^<>]*+>")
+_MARKUP = re.compile(r"</[^>]*(?:>|\Z)")
 _MODIFIER = re.compile(r"\b(?:has|with|without|no) \w+")
 _NAME = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"(?<![\w-])hidden(?![\w-])|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
@@ -130,6 +133,32 @@ def _block_cost(text: str, linked: int, tag: str, element: _Element) -> int:
     return cost
 
 
+def _tag_end(html: str, at: int, known: dict[int, int]) -> int:
+    """Where the tag ends whose attributes begin at ``at``, 0 if nowhere.
+
+    A value may hold anything but its quote. ``known`` has the answer for every value met so far
+    in the page, so a page is read a bounded number of times however its quotes are nested.
+    """
+    first, met, end = at, [], 0
+    while found := _ATTRIBUTE.match(html, at):
+        at = found.end()
+        if found.group(1):
+            if at in known:
+                end = known[at]
+                break
+            met.append(at)
+            at = html.find(found.group(1), at) + 1
+            if not at:
+                break
+    else:
+        if closed := _CLOSED.match(html, at):
+            end = closed.end()
+    known.update(dict.fromkeys(met, end))
+    if not end and (closed := _STRAY.match(html, first)):
+        return closed.end()
+    return end
+
+
 def page_blocks(html: str) -> list[Block]:
     """The blocks of a page in order, white space made single spaces, references decoded."""
     root = _Element("html", 0, 0, False)
@@ -138,6 +167,7 @@ def page_blocks(html: str) -> list[Block]:
     parts: list[str] = []
     linked, links = 0, 0
     at, size = 0, len(html)
+    known: dict[int, int] = {}
 
     def close() -> None:
         nonlocal linked
@@ -168,9 +198,21 @@ def page_blocks(html: str) -> list[Block]:
             continue
         tag = tag.lower()
         end = token.group(1)
+        attributes = token.group(3)
+        if not attributes:
+            if found := _tag_end(html, at, known):
+                attributes, at = html[at:found], found
+            elif end:
+                at = _MARKUP.match(html, token.start()).end()
+                continue
+            else:  # no tag, so its "<" is text
+                parts.append("<")
+                linked += 1 if links else 0
+                at = token.start() + 1
+                continue
         if not end and tag in RAW:
             close_tag = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(html, at)
-            if not token.group(0).endswith("/>"):
+            if not attributes.endswith("/>"):
                 at = close_tag.end() if close_tag else size
             continue
         if tag in INLINE:
@@ -193,7 +235,7 @@ def page_blocks(html: str) -> list[Block]:
                 opened[stack.pop().tag] -= 1
             number += 1
             opened[tag] += 1
-            stack.append(_element(tag, token.group(3), number, stack[-1]))
+            stack.append(_element(tag, attributes, number, stack[-1]))
     close()
     return blocks
 

@@ -64,6 +64,26 @@ def test_broken_markup():
     assert main_text("<article><p>kept</p><script>never closed <p>not this")[0] == "kept"
 
 
+def test_markup_in_attribute_values():
+    inside = "<p>Words of a comment are here, and they are long.</p></div><p>Kept text is here.</p>"
+    many = " ".join(f'a{i}="v"' for i in range(30))
+    for attributes in (
+        f'data-tip="<b>{"x" * 310}</b>"',
+        f'{many} data-t="<b>x</b>"',
+        'data-j=\'{"a": "1 > 0, <i>it</i>"}\' title="a > b" data-u="<p>\'</p>"',
+        'data-t = "<b>" data-u=it\'s/a"b',
+    ):
+        assert main_text(f"<article><div {attributes} class='comments'>{inside}")[0] == "Kept text is here."
+    assert main_text("<article><p>Kept text is here.</p><script data-t='<b>'/><p>So is this.</p>")[0].endswith("So is this.")
+
+
+def test_reading_of_attribute_values_stays_linear():
+    start = time.process_time()
+    for page in ('<a b="' * 50000, "<a b=\"<a c='" * 20000, "<a b=\"'<c d='\"" * 20000, '<a b="<" ' * 50000, '<a ="="' * 20000):
+        main_text(page)
+    assert time.process_time() - start < 30
+
+
 def test_pages_without_text():
     assert [main_text(x)[0] for x in (None, "", " \n", "<p>", "<!-- x", "<nav>Menu</nav>")] == [""] * 6
 
