@@ -5,6 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from lotwise.llm import (
     exact_dedup,
+    fill_in_middle,
     hamming_search,
     html_extract,
     language_id,
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_url_filter": url_filter.query,
     "op9_hamming_search": hamming_search.query,
     "op10_sharding": sharding.query,
+    "op11_fill_in_middle": fill_in_middle.query,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
@@ -34,4 +36,5 @@ ORACLES = {
     "op4_exact_dedup": exact_dedup.ORACLE,
     "op8_url_filter": url_filter.ORACLE,
     "op9_hamming_search": hamming_search.ORACLE,
+    "op11_fill_in_middle": fill_in_middle.ORACLE,
 }
