@@ -6,6 +6,7 @@ import corpus_pipeline
 from lotwise.llm import (
     exact_dedup,
     fill_in_middle,
+    filter_audit,
     hamming_search,
     html_extract,
     language_id,
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_hamming_search": hamming_search.query,
     "op10_sharding": sharding.query,
     "op11_fill_in_middle": fill_in_middle.query,
+    "op12_filter_audit": filter_audit.query,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
@@ -37,4 +39,5 @@ ORACLES = {
     "op8_url_filter": url_filter.ORACLE,
     "op9_hamming_search": hamming_search.ORACLE,
     "op11_fill_in_middle": fill_in_middle.ORACLE,
+    "op12_filter_audit": filter_audit.ORACLE,
 }
