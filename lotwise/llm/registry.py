@@ -15,6 +15,7 @@ from lotwise.llm import (
     packing,
     piece_sampling,
     sharding,
+    simhash,
     url_filter,
 )
 
@@ -31,6 +32,7 @@ QUERIES = {
     "op10_sharding": sharding.query,
     "op11_fill_in_middle": fill_in_middle.query,
     "op12_filter_audit": filter_audit.query,
+    "op13_simhash": simhash.query,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
