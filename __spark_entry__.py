@@ -5,7 +5,9 @@ from __future__ import annotations
 import importlib.util
 import sys
 from collections.abc import Callable
-from functools import cached_property
+from dataclasses import replace
+from datetime import timedelta
+from functools import cached_property, partial
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from lotwise.functions.measures import metric_columns  # noqa: E402
+from lotwise.functions.measures import metric_columns, utc_day  # noqa: E402
 from lotwise.operators.counters import (  # noqa: E402
     HOST_KEYS,
     HOST_PLACE,
@@ -42,10 +44,12 @@ from lotwise.operators.entries import (  # noqa: E402
 from lotwise.operators.levels import drop_redundant_hosts, union_levels  # noqa: E402
 from lotwise.operators.rates import country_rates, host_rates, refine_rates  # noqa: E402
 from lotwise.operators.thresholds import threshold_method, thresholds  # noqa: E402
+from lotwise.plans.daily import DayReader, daily_rate_table, refresh_rollup  # noqa: E402
 from lotwise.plans.publish import publish  # noqa: E402
 from lotwise.plans.rate_table import in_key_order, rate_table  # noqa: E402
 from lotwise.settings import Settings, basic, refined  # noqa: E402
-from lotwise.sources.events import read_events  # noqa: E402
+from lotwise.sources.events import day_events, read_events  # noqa: E402
+from lotwise.sources.rollups import rollup_rows  # noqa: E402
 from lotwise.sources.sinks import write_rates  # noqa: E402
 from lotwise.sources.staging import stage, staged_path  # noqa: E402
 from lotwise_checks.comparison import collapse_low_volume, rate_table_by_scans  # noqa: E402
@@ -166,6 +170,28 @@ class Steps:
     def rate_table_by_scans(self) -> DataFrame:
         return rate_table_by_scans(self.events, self.settings)
 
+    def _after_yesterday(self) -> tuple[DayReader, str]:
+        """A reader of events stored by day, and daily sums as yesterday's run left them."""
+        path, store = (staged_path(self.spark, name) for name in ("events", "sums"))
+        by_day = self.events.withColumn("day", utc_day(F.col("record_date")))
+        by_day.write.partitionBy("day").parquet(path)
+        read = partial(day_events, self.spark, path, day_column="day")
+        yesterday = replace(self.settings, as_of=self.settings.as_of - timedelta(days=1))
+        refresh_rollup(self.spark, read, store, yesterday)
+        return read, store
+
+    def daily_sums(self) -> DataFrame:
+        read, store = self._after_yesterday()
+        refresh_rollup(self.spark, read, store, self.settings)
+        rows = rollup_rows(self.spark, store, self.settings)
+        if self.settings.refined:
+            rows = rows.withColumn("revenue", F.col("revenue").cast("double"))
+        return rows
+
+    def rate_table_daily(self) -> DataFrame:
+        read, store = self._after_yesterday()
+        return daily_rate_table(self.spark, read, store, self.settings)
+
     def rate_leaves(self) -> DataFrame:
         return unfold_rates(fold_rates(self.staged_rates))
 
@@ -277,6 +303,8 @@ BOTH = (
     "drop_redundant_hosts",
     "rate_table",
     "rate_table_by_scans",
+    "daily_sums",
+    "rate_table_daily",
     "rate_leaves",
     "rate_document",
     "document_lines",
@@ -317,6 +345,7 @@ def _oracle(method: str, variant: str) -> str:
         "long_window_events": lambda: oracle.events_in(last_day_only=False),
         "windowed_events": lambda: oracle.events_in(last_day_only=False),
         "base_rollup": oracle.base_rollup,
+        "daily_sums": oracle.daily_sums,
         "conditional_sums": oracle.conditional_sums,
         "ratio_metrics": oracle.ratio_metrics,
         "rate_violations": oracle.violations,
@@ -338,6 +367,7 @@ def _oracle(method: str, variant: str) -> str:
         "drop_redundant_hosts": "kept",
         "rate_table": "rates",
         "rate_table_by_scans": "rates",
+        "rate_table_daily": "rates",
         "rate_leaves": "leaves",
         "published_document": "leaves",
         "flat_rates": "rates",

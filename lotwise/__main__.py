@@ -5,13 +5,16 @@ from __future__ import annotations
 import argparse
 import logging
 from datetime import date
+from functools import partial
 
 from pyspark.sql import SparkSession
 
-from lotwise.plans.publish import publish
+from lotwise.plans.daily import daily_rate_table
+from lotwise.plans.publish import publish, publish_rates
 from lotwise.settings import MIN_REQUESTS, basic, refined, utc_today
-from lotwise.sources.events import read_events, table_events
+from lotwise.sources.events import day_events, read_events, table_day_events, table_events
 from lotwise.sources.requests import parse_request
+from lotwise.sources.staging import freed_staging
 
 
 def bands(text: str) -> tuple[tuple[float, float], ...]:
@@ -35,6 +38,11 @@ def main(argv: list[str] | None = None) -> str:
     parser.add_argument("--min-rpr", type=float)
     parser.add_argument("--files", type=int, help="publish a folder of up to this many files")
     parser.add_argument("--day-column", help="DATE partition column of the event table")
+    parser.add_argument("--rollup", help="folder of daily sums; only days it lacks are read")
+    parser.add_argument(
+        "--again", type=date.fromisoformat, action="append", default=[],
+        help="day of the window to be summed again into the rollup, such as 2026-01-04",
+    )
     parser.add_argument("--request", help='JSON options: {"override": {...}, "filename": "..."}')
     args = parser.parse_args(argv)
 
@@ -44,9 +52,16 @@ def main(argv: list[str] | None = None) -> str:
     names = ("extended_days", "default_rate", "bands", "min_rpr")
     given = {name: getattr(args, name) for name in names if getattr(args, name) is not None}
     settings = preset(as_of=args.as_of, min_requests=args.min_requests, **given)
-    read, place = (table_events, args.table) if args.table else (read_events, args.events)
-    events = read(spark, place, settings, args.day_column)
     request = parse_request(args.request)
+    place = args.table or args.events
+    if args.rollup:
+        read_days = table_day_events if args.table else day_events
+        read = partial(read_days, spark, place, day_column=args.day_column)
+        with freed_staging(spark):
+            rates = daily_rate_table(spark, read, args.rollup, settings, args.again)
+            return publish_rates(rates, args.out, request, args.rates, files=args.files)
+    read = table_events if args.table else read_events
+    events = read(spark, place, settings, args.day_column)
     return publish(events, settings, args.out, request, args.rates, files=args.files)
 
 

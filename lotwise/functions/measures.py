@@ -15,6 +15,11 @@ def in_window(column: Column, start: datetime, end: datetime) -> Column:
     return (column >= F.lit(start)) & (column < F.lit(end))
 
 
+def utc_day(instant: Column) -> Column:
+    """The UTC day of a timestamp, whatever the session's time zone."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(instant) / 86_400).cast("int"))
+
+
 def usable_error(error_code: Column) -> Column:
     return error_code.isNull() | (error_code == TOLERATED_ERROR)
 

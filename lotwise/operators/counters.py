@@ -6,7 +6,10 @@ gives the same result on either.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+from datetime import date, datetime, time, timedelta, timezone
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotwise.functions.measures import (
@@ -15,6 +18,7 @@ from lotwise.functions.measures import (
     known_place,
     sums,
     usable_error,
+    utc_day,
 )
 from lotwise.settings import Settings
 from lotwise.sources.events import EVENT_SCHEMA
@@ -35,10 +39,11 @@ def usable_events(events: DataFrame) -> DataFrame:
     )
 
 
-def renamed_keys(events: DataFrame) -> DataFrame:
-    """The event columns the job knows, under short key names; a wider table may use those too."""
+def renamed_keys(events: DataFrame, *more: str) -> DataFrame:
+    """The event columns the job knows, under short key names, and the columns ``more``; a wider
+    table may use those names too."""
     short = {"bidder_id": "bidder", "geo_continent": "continent", "geo_country": "country"}
-    known = [name for name in EVENT_SCHEMA.names if name in events.columns]
+    known = [name for name in (*EVENT_SCHEMA.names, *more) if name in events.columns]
     return events.select([F.col(name).alias(short.get(name, name)) for name in known])
 
 
@@ -86,3 +91,24 @@ def conditional_sums(events: DataFrame, settings: Settings) -> DataFrame:
     """Null-as-zero and error-free sums of the last day per bidder and country."""
     rows = counters(last_day(events, settings), settings).filter(known_place())
     return rows.groupBy(*COUNTRY_KEYS).agg(*sums(settings))
+
+
+def _within(days: Sequence[date]) -> Column:
+    """Events from the first to the last of ``days``: a time window, which storage can prune by."""
+    first, last = (datetime.combine(d, time(), timezone.utc) for d in (min(days), max(days)))
+    return in_window(F.col("record_date"), first, last + timedelta(days=1))
+
+
+def host_day_sums(events: DataFrame, settings: Settings, days: Sequence[date]) -> DataFrame:
+    """The measures of ``days`` summed by UTC day, bidder, place and host, unknown places too."""
+    rows = usable_events(events.filter(_within(days))).withColumn("day", utc_day(F.col("record_date")))
+    rows = renamed_keys(rows.filter(F.col("day").isin(list(days))), "day")
+    rows = rows.select(*HOST_KEYS, "day", *counter_columns(settings))
+    return rows.groupBy("day", *HOST_KEYS).agg(*sums(settings))
+
+
+def country_day_sums(host_sums: DataFrame, settings: Settings) -> DataFrame:
+    """Sums by host added up by day, bidder and known place; the host is null."""
+    summed = host_sums.filter(known_place()).groupBy("day", *COUNTRY_KEYS).agg(*sums(settings))
+    host = F.lit(None).cast("string").alias("host")
+    return summed.select(*COUNTRY_KEYS, host, *settings.measures, "day")

@@ -42,16 +42,21 @@ def _filters(rates: DataFrame, settings: Settings) -> DataFrame:
 
 
 def rate_table(events: DataFrame, settings: Settings) -> DataFrame:
-    """The whole job on one scan of the events.
+    """The whole job on one scan of the events; see ``rates_of``."""
+    check_columns(events, settings)
+    return rates_of(counters(events, settings), settings)
+
+
+def rates_of(rows: DataFrame, settings: Settings) -> DataFrame:
+    """The rates from counters or from any partial sums of them.
 
     Calling it runs jobs: three tables are written on the way, which the result reads. The rollup,
-    which both levels start from instead of the events; the entries of both levels, which leave
+    which both levels start from instead of the rows; the entries of both levels, which leave
     out hosts below the volume cut, no file of which mixes levels; and the finished country rows,
     so that only host rows are left to be joined with them. ``freed_staging`` removes them after
     use.
     """
-    check_columns(events, settings)
-    rollup = stage(base_rollup(counters(events, settings), settings), "rollup")
+    rollup = stage(base_rollup(rows, settings), "rollup")
     entries = stage(
         treated_entries(rollup, settings)
         .select("*", F.lit(None).cast("string").alias("host"), F.lit("country").alias("level"))

@@ -72,6 +72,12 @@ class Settings:
     def long_start(self) -> datetime:
         return self.day_end - timedelta(days=self.extended_days)
 
+    @property
+    def days(self) -> list[date]:
+        """The UTC days of the long window, oldest first."""
+        first = self.long_start.date()
+        return [first + timedelta(days=n) for n in range(self.extended_days)]
+
     @property
     def lowest_band(self) -> float:
         return self.bands[-1][0]

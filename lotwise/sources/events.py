@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from collections.abc import Iterable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,45 +70,54 @@ def check_columns(events: DataFrame, settings: Settings) -> DataFrame:
     return events
 
 
-def _days(settings: Settings) -> list[date]:
-    first = settings.long_start.date()
-    return [first + timedelta(days=n) for n in range((settings.as_of - first).days)]
-
-
 def _in_long_window(events: DataFrame, settings: Settings) -> DataFrame:
     return events.filter(in_window(F.col("record_date"), settings.long_start, settings.day_end))
 
 
-def read_events(
-    spark: SparkSession, path: str, settings: Settings, day_column: str | None = None
+def day_events(
+    spark: SparkSession, path: str, days: Iterable[date], day_column: str | None = None
 ) -> DataFrame:
-    """Events of the long window.
+    """Events of at least ``days``.
 
     ``day_column`` names a DATE partition column holding the UTC day of ``record_date``. With it
-    the folders of the window's days are asked for by name, and no other folder of the table is
-    listed or read, whatever it holds; a day without a folder has no events. Without it the time
-    filter alone prunes Parquet row groups.
+    the days' folders are asked for by name, and no other folder of the table is listed or read,
+    whatever it holds; a day without a folder has no events. Without it the whole table is given,
+    for the caller's time filter to prune.
     """
     if not day_column:
-        return _in_long_window(spark.read.parquet(path), settings)
+        return spark.read.parquet(path)
     root = path.rstrip("/")
-    folders = [f"{root}/{day_column}={day.isoformat()}" for day in _days(settings)]
+    folders = [f"{root}/{day_column}={day.isoformat()}" for day in days]
     hadoop = spark._jvm.org.apache.hadoop.fs
     fs = hadoop.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
     found = [folder for folder in folders if fs.exists(hadoop.Path(folder))]
     if not found:
         return spark.createDataFrame([], EVENT_SCHEMA)
-    events = spark.read.option("basePath", root).parquet(*found)
-    return _in_long_window(events.drop(day_column), settings)
+    return spark.read.option("basePath", root).parquet(*found).drop(day_column)
 
 
-def table_events(
-    spark: SparkSession, name: str, settings: Settings, day_column: str | None = None
+def read_events(
+    spark: SparkSession, path: str, settings: Settings, day_column: str | None = None
 ) -> DataFrame:
-    """Events of the long window of a catalog table; the catalog finds the days' partitions."""
+    """Events of the long window; ``day_column`` as for ``day_events``. Without it the time filter
+    alone prunes Parquet row groups."""
+    return _in_long_window(day_events(spark, path, settings.days, day_column), settings)
+
+
+def table_day_events(
+    spark: SparkSession, name: str, days: Iterable[date], day_column: str | None = None
+) -> DataFrame:
+    """Events of at least ``days`` of a catalog table; the catalog finds the days' partitions."""
     events = spark.table(name)
     if day_column:
-        day = F.col(day_column)
-        first, end = settings.long_start.date(), settings.as_of
-        events = events.filter((day >= F.lit(first)) & (day < F.lit(end))).drop(day_column)
-    return _in_long_window(events, settings)
+        days, day = sorted(days), F.col(day_column)
+        between = (day >= F.lit(days[0])) & (day <= F.lit(days[-1]))
+        events = events.filter(between & day.isin(days)).drop(day_column)
+    return events
+
+
+def table_events(
+    spark: SparkSession, name: str, settings: Settings, day_column: str | None = None
+) -> DataFrame:
+    """Events of the long window of a catalog table."""
+    return _in_long_window(table_day_events(spark, name, settings.days, day_column), settings)

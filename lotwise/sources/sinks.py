@@ -34,9 +34,9 @@ def write_document(lines: DataFrame, path: str, files: int | None = None) -> Non
     exists = fs.exists(target)
     if files is None and exists and fs.getFileStatus(target).isDirectory():
         raise FileExistsError(f"{path} is a folder")
-    if files is not None and exists and not fs.exists(_path(spark, target, MARKER)):
+    if files is not None and exists and not fs.exists(hadoop_path(spark, target, MARKER)):
         raise FileExistsError(f"{path} is no folder that a document was written to")
-    fresh = _path(spark, target.getParent(), f".{target.getName()}.{uuid4().hex}")
+    fresh = hadoop_path(spark, target.getParent(), f".{target.getName()}.{uuid4().hex}")
     if files is None:
         ordered = lines.orderBy(*HOST_KEYS).coalesce(1)
     else:
@@ -44,20 +44,20 @@ def write_document(lines: DataFrame, path: str, files: int | None = None) -> Non
     try:
         ordered.select("line").write.text(fresh.toString())
         if files is None:
-            _replace_file(spark, fs, fs.globStatus(_path(spark, fresh, "part-*"))[0].getPath(), target)
+            _replace_file(spark, fs, fs.globStatus(hadoop_path(spark, fresh, "part-*"))[0].getPath(), target)
         else:
-            fs.create(_path(spark, fresh, MARKER)).close()
-            _replace_folder(spark, fs, fresh, target)
+            fs.create(hadoop_path(spark, fresh, MARKER)).close()
+            replace_folder(spark, fs, fresh, target)
     finally:
         fs.delete(fresh, True)
 
 
-def _path(spark: SparkSession, *parts):
+def hadoop_path(spark: SparkSession, *parts):
     return spark._jvm.org.apache.hadoop.fs.Path(*parts)
 
 
 def _place(spark: SparkSession, path: str):
-    target = _path(spark, path)
+    target = hadoop_path(spark, path)
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
     return fs, fs.makeQualified(target)
 
@@ -72,8 +72,8 @@ def _replace_file(spark: SparkSession, fs, source, target) -> None:
     hadoop.FileContext.getFileContext(target.toUri(), configuration).rename(source, target, overwrite)
 
 
-def _replace_folder(spark: SparkSession, fs, source, target) -> None:
-    aside = _path(spark, target.getParent(), f".{target.getName()}.{uuid4().hex}")
+def replace_folder(spark: SparkSession, fs, source, target) -> None:
+    aside = hadoop_path(spark, target.getParent(), f".{target.getName()}.{uuid4().hex}")
     earlier = fs.exists(target)
     if earlier and not fs.rename(target, aside):
         raise OSError(f"could not move {target} aside")

@@ -235,7 +235,7 @@ def test_a_failing_rename_leaves_the_earlier_document(spark, tmp_path, files, mo
         fs.delete(source, True)
         return real(spark, fs, source, target)
 
-    name = "_replace_file" if files is None else "_replace_folder"
+    name = "_replace_file" if files is None else "replace_folder"
     real = getattr(sinks, name)
     monkeypatch.setattr(sinks, name, gone)
     with pytest.raises(Exception):
