@@ -102,7 +102,8 @@ def _met(open_queries: DataFrame, index: DataFrame, steps: range, words: int) ->
         rows = rows.select("qid", "bound", *_names(words, "q"), "at", mask)
         rows = rows.withColumn("key", F.col("at").bitwiseXOR(F.col("mask"))).drop("at", "mask")
         asked = rows if asked is None else asked.union(rows)
-    near = asked.join(index, "key").withColumn("distance", _distance(words))
+    # The planner sees what masks are made from, not their number, so it must not broadcast them.
+    near = asked.join(index.hint("merge"), "key").withColumn("distance", _distance(words))
     near = near.filter(F.col("distance") <= F.col("bound"))
     return near.select("qid", "cid", "distance", "least", "size").distinct()
 
