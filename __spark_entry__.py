@@ -48,7 +48,9 @@ from lotwise.plans.daily import DayReader, daily_rate_table, refresh_rollup  # n
 from lotwise.plans.publish import publish  # noqa: E402
 from lotwise.plans.rate_table import in_key_order, rate_table  # noqa: E402
 from lotwise.settings import Settings, basic, refined  # noqa: E402
+from lotwise.sources.documents import read_document  # noqa: E402
 from lotwise.sources.events import day_events, read_events  # noqa: E402
+from lotwise.sources.requests import Request, parse_request  # noqa: E402
 from lotwise.sources.rollups import rollup_rows  # noqa: E402
 from lotwise.sources.sinks import write_rates  # noqa: E402
 from lotwise.sources.staging import stage, staged_path  # noqa: E402
@@ -74,6 +76,10 @@ OVERRIDE_LEAVES = (
     " ('bidder_2', 'EUROPE', 'RU', 'default', 0.0)"
 )
 
+REQUEST = '{"filename": "rates.json", "minBidRate": "5", "override": ' + OVERRIDE + "}"
+# Parts of every bidder's document, and files of the published one.
+DOCUMENT_PARTS = 8
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -193,29 +199,32 @@ class Steps:
         return daily_rate_table(self.spark, read, store, self.settings)
 
     def rate_leaves(self) -> DataFrame:
-        return unfold_rates(fold_rates(self.staged_rates))
+        return unfold_rates(fold_rates(self.staged_rates, parts=DOCUMENT_PARTS))
 
     def rate_document(self) -> DataFrame:
-        folded = fold_rates(self.staged_rates)
+        folded = fold_rates(self.staged_rates, parts=DOCUMENT_PARTS)
         return folded.withColumn("document", F.to_json("document"))
 
     def document_lines(self) -> DataFrame:
         return document_lines(stage(distinct_leaves(self.staged_rates), "leaves"))
 
     def override_merge(self) -> DataFrame:
-        documents = fold_rates(self.staged_rates)
+        documents = fold_rates(self.staged_rates, parts=DOCUMENT_PARTS)
         overrides = override_rows(documents.sparkSession, OVERRIDE)
         return unfold_rates(merge_overrides(documents, overrides))
 
+    def _published(self, request: Request) -> DataFrame:
+        """What is published under a request, written as a folder, read back and flattened."""
+        folder = staged_path(self.spark, "published")
+        path = publish(self.events, self.settings, folder, request, files=DOCUMENT_PARTS)
+        return unfold_rates(read_document(self.spark, path))
+
     def published_document(self) -> DataFrame:
-        """The published file, read back and flattened."""
-        path = publish(self.events, self.settings, staged_path(self.spark, "published"))
-        self.spark.read.text(path, wholetext=True).createOrReplaceTempView("published_text")
-        documents = self.spark.sql(
-            "SELECT m.key AS bidder, m.value AS document FROM published_text,"
-            " LATERAL variant_explode(parse_json(value)) AS m"
-        )
-        return unfold_rates(documents)
+        return self._published(Request())
+
+    def requested_document(self) -> DataFrame:
+        """The same for a request as it is received, with an override."""
+        return self._published(parse_request(REQUEST))
 
     def flat_rates(self) -> DataFrame:
         path = staged_path(self.spark, "flat")
@@ -309,6 +318,7 @@ BOTH = (
     "rate_document",
     "document_lines",
     "published_document",
+    "requested_document",
     "flat_rates",
     "windowed_events",
 )
@@ -350,7 +360,8 @@ def _oracle(method: str, variant: str) -> str:
         "ratio_metrics": oracle.ratio_metrics,
         "rate_violations": oracle.violations,
         "override_merge": lambda: oracle.overridden(("site.example", "bidder_2"), OVERRIDE_LEAVES),
-        "rate_document": oracle.documents,
+        "requested_document": lambda: oracle.overridden(("site.example", "bidder_2"), OVERRIDE_LEAVES),
+        "rate_document": lambda: oracle.documents(DOCUMENT_PARTS),
         "document_lines": oracle.document_lines,
     }
     if method in own:

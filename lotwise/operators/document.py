@@ -24,6 +24,10 @@ DEFAULT_HOST_MESSAGE = (
 NULL_HOST_KEY = "null"
 # End of fixed values.
 
+# Leaves that one folded document may hold, and how a leaf's key decides its part.
+LEAVES_PER_PART = 100_000
+PART_SEPARATOR, PART_DIGITS = "\x1f", 15
+
 DEFAULT_COUNTRY_RULE = "default_country_with_other_host"
 EMPTY_RULE = "empty_result"
 
@@ -115,22 +119,50 @@ def _as_object(key: str, value: str) -> Column:
     return F.to_variant_object(F.map_from_entries(F.collect_list(F.struct(key, value))))
 
 
-def fold_rates(rates: DataFrame, order_by: str | None = None, parts: int = 1) -> DataFrame:
+def part_of(parts: int) -> Column:
+    """The part of a leaf, by its key below the bidder; any SQL engine can work it out."""
+    key = F.md5(F.concat_ws(PART_SEPARATOR, "continent", "country", "host"))
+    number = F.conv(F.substring(key, 1, PART_DIGITS), 16, 10).cast("bigint")
+    return F.pmod(number, F.lit(parts)).cast("int")
+
+
+def parts_needed(leaves: DataFrame, most: int) -> int:
+    """The number of parts, the same for every bidder, for which none has more than ``most`` leaves.
+
+    Every try counts the leaves of each part, combined map-side; the next is as many times larger
+    as the largest part was too large, so that two or three do.
+    """
+    parts = 1
+    while True:
+        sizes = leaves.groupBy("bidder", part_of(parts)).agg(F.count(F.lit(1)).alias("n"))
+        largest = sizes.agg(F.max("n")).first()[0] or 0
+        if largest <= most:
+            return parts
+        parts *= max(2, -(-largest // most))
+
+
+def fold_rates(
+    rates: DataFrame,
+    order_by: str | None = None,
+    parts: int | None = None,
+    most: int = LEAVES_PER_PART,
+) -> DataFrame:
     """Nested documents: (bidder, part, document).
 
-    With ``parts`` above 1 the rates of every bidder alike are spread over that many parts by key
-    hash, so that no group outgrows a task or the size limit of a VARIANT (128 MB); the parts have
-    no leaf in common and merge to the bidder's whole document. Choose it by the largest bidder.
+    The rates of every bidder alike are spread over parts by their key, so that no group outgrows
+    a task or the size limit of a VARIANT (128 MB): over ``parts`` of them, or over as few as it
+    takes for none to have more than ``most`` leaves. The parts of a bidder have no leaf in common
+    and are never put together; unfolding and overrides take them as they are, and the published
+    text is made from leaves.
 
-    One scan, and one shuffle on bidder and part for all three levels. An invalid row fails the
-    query; that there is no row at all is found, and raised, on the call. ``check_rates`` also
-    reports how many rows break which rule.
+    Calling it runs jobs, as the distinct leaves are written once. After that one shuffle on bidder
+    and part serves all three levels. An invalid row fails the call, and so does an empty table;
+    ``check_rates`` also reports how many rows break which rule.
     """
-    if rates.isEmpty():
+    leaves = stage(distinct_leaves(_checked(rates), order_by), "leaves")
+    if leaves.isEmpty():
         raise InvalidRates(EMPTY_RESULT_MESSAGE)
-    leaves = distinct_leaves(_checked(rates), order_by)
-    part = F.pmod(F.hash("continent", "country", "host"), F.lit(parts)).cast("int")
-    placed = leaves.withColumn("part", part)
+    placed = leaves.withColumn("part", part_of(parts or parts_needed(leaves, most)))
     countries = (
         placed.repartition("bidder", "part")
         .groupBy("bidder", "part", "continent", "country")

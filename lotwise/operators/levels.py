@@ -9,6 +9,9 @@ from lotwise.functions.measures import is_country_level, is_host_level
 from lotwise.operators.counters import COUNTRY_KEYS, HOST_KEYS
 from lotwise.settings import DEFAULT, Settings
 
+# Parts that the hosts of one bidder and country are spread over to meet their country's row.
+SALTS = 16
+
 
 def union_levels(countries: DataFrame, hosts: DataFrame, settings: Settings) -> DataFrame:
     columns = [*HOST_KEYS, "volume", "top_bid_rate", "thr"]
@@ -33,15 +36,22 @@ def repeated_countries(countries: DataFrame) -> DataFrame:
     return countries.withColumn("_copy", copy).drop("repeats", "_copy")
 
 
-def differing_hosts(hosts: DataFrame, countries: DataFrame, rate: str = "rate") -> DataFrame:
+def differing_hosts(
+    hosts: DataFrame, countries: DataFrame, rate: str = "rate", salts: int = SALTS
+) -> DataFrame:
     """Host rows whose rate differs from a rate of their country.
 
-    A host without a country row is dropped. ``countries`` may be a written table: its size is then
-    known beforehand, and while that is below the broadcast threshold hosts need no shuffle.
+    A host without a country row is dropped. The hosts of a bidder and country are spread over
+    ``salts`` parts, each of which meets a copy of the country row, so that a country holding a
+    third of all hosts is not one task; country rows are few beside hosts. ``countries`` may be a
+    written table: its size is then known beforehand, and while that is below the broadcast
+    threshold hosts need no shuffle.
     """
-    parents = countries.select(*COUNTRY_KEYS, F.col(rate).alias("parent_rate"))
-    met = hosts.join(parents, list(COUNTRY_KEYS))
-    return met.filter(F.col(rate) != F.col("parent_rate")).drop("parent_rate")
+    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")
+    parents = countries.select(*COUNTRY_KEYS, F.col(rate).alias("parent_rate"), copies)
+    salted = hosts.withColumn("_salt", F.pmod(F.hash("host"), F.lit(salts)))
+    met = salted.join(parents, [*COUNTRY_KEYS, "_salt"])
+    return met.filter(F.col(rate) != F.col("parent_rate")).drop("parent_rate", "_salt")
 
 
 def drop_redundant_hosts(levels: DataFrame, rate: str = "rate") -> DataFrame:

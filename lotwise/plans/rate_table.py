@@ -15,7 +15,7 @@ from lotwise.operators.levels import (
     union_levels,
 )
 from lotwise.operators.rates import country_rates, host_rates, refine_rates
-from lotwise.operators.thresholds import thresholds
+from lotwise.operators.thresholds import BIDDER_COLUMNS, bidder_thresholds, by_bidder, thresholds
 from lotwise.settings import DEFAULT, Settings
 from lotwise.sources.events import check_columns
 from lotwise.sources.staging import stage
@@ -58,17 +58,20 @@ def rates_of(rows: DataFrame, settings: Settings) -> DataFrame:
     """
     rollup = stage(base_rollup(rows, settings), "rollup")
     entries = stage(
-        treated_entries(rollup, settings)
-        .select("*", F.lit(None).cast("string").alias("host"), F.lit("country").alias("level"))
+        by_bidder(treated_entries(rollup, settings), PLACE, settings)
+        .withColumn("level", F.lit("country"))
         .unionByName(
-            host_entries(rollup, settings, rolled_up=True).withColumn("level", F.lit("host"))
+            host_entries(rollup, settings, rolled_up=True)
+            .drop("bids", "top_bids")
+            .withColumn("level", F.lit("host")),
+            allowMissingColumns=True,
         ),
         "entries",
     )
     treated = entries.filter(F.col("level") == "country").drop("host", "level")
-    hosts = entries.filter(F.col("level") == "host").drop("level")
+    hosts = entries.filter(F.col("level") == "host").drop("level", *BIDDER_COLUMNS)
 
-    by_country = country_rates(thresholds(treated, PLACE, settings, repeated_keys=True), settings)
+    by_country = country_rates(bidder_thresholds(treated, PLACE), settings)
     own = _filters(by_country.withColumn("host", F.lit(DEFAULT)), settings)
     # A raw host spelled like a country row counts as one.
     spelled = _host_filters(hosts.filter(is_country_level()), settings)

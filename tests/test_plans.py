@@ -7,10 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from events import days_ago, event, frame, settings
-from lotwise.operators.counters import HOST_PLACE, base_rollup, counters
+from lotwise.operators.counters import HOST_PLACE, PLACE, base_rollup, counters
 from lotwise.operators.document import distinct_leaves, document_lines, fold_rates
-from lotwise.operators.entries import host_entries
-from lotwise.operators.thresholds import threshold_method
+from lotwise.operators.entries import host_entries, treated_entries
+from lotwise.operators.levels import differing_hosts
+from lotwise.operators.thresholds import bidder_thresholds, by_bidder, threshold_method
 from lotwise.plans import rate_table as plans
 from lotwise.plans.rate_table import rate_table
 from lotwise.sources.staging import stage
@@ -199,3 +200,51 @@ def test_host_statistics_need_one_shuffle(stored, shuffled_joins):
     own = settings("basic")
     hosts = stage(host_entries(counters(stored, own), own), "hosts")
     assert plan_of(threshold_method(hosts, HOST_PLACE)).count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("variant", VARIANTS)
+def test_country_thresholds_need_three_shuffles_and_no_window(stored, variant, shuffled_joins):
+    """One aggregation by place and bidder serves both merged metrics and place statistics."""
+    own = settings(variant)
+    treated = stage(treated_entries(counters(stored, own), own), "treated")
+    merged = by_bidder(treated, PLACE, own)
+    plans_of = [plan_of(merged), plan_of(bidder_thresholds(stage(merged, "bidders"), PLACE))]
+    assert [p.count("Exchange hashpartitioning") for p in plans_of] == [1, 2]
+    assert "Window" not in "".join(plans_of)
+
+
+def test_hosts_of_a_hot_country_are_spread(spark, tmp_path, shuffled_joins):
+    """A third of all hosts belong to one bidder and country."""
+    hot = F.col("id") % 3 == 0
+    hosts = spark.range(30_000).select(
+        F.when(hot, "hot").otherwise(F.concat(F.lit("b"), F.col("id") % 500)).alias("bidder"),
+        F.lit("EU").alias("continent"),
+        F.lit("FR").alias("country"),
+        F.concat(F.lit("h"), "id").alias("host"),
+        (F.col("id") % 2).cast("double").alias("rate"),
+    )
+    hosts.write.parquet(str(tmp_path / "hosts"))
+    hosts = spark.read.parquet(str(tmp_path / "hosts"))
+    countries = hosts.select("bidder", "continent", "country").distinct().withColumn("rate", F.lit(0.0))
+
+    def largest_share(**changes):
+        df = differing_hosts(hosts, countries, **changes)
+        assert "Broadcast" not in plan_of(df)
+        sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == hosts.filter("rate = 1").count()
+        return max(sizes) / sum(sizes)
+
+    assert largest_share(salts=1) > 0.33
+    assert largest_share() < 0.25
+
+
+@pytest.mark.parametrize("salts", [1, 2, 16])
+def test_salts_change_no_row(spark, salts):
+    rows = [("b", "EU", "FR", f"h{n}" if n else None, float(n % 2)) for n in range(40)]
+    hosts = spark.createDataFrame(rows * 2, "bidder string, continent string, country string, host string, rate double")
+    own = [("b", "EU", "FR", 1.0), ("b", "EU", "DE", 0.0), ("b", "EU", "FR", None)]
+    countries = spark.createDataFrame(own, "bidder string, continent string, country string, rate double")
+    found = differing_hosts(hosts, countries, salts=salts)
+    assert found.columns == hosts.columns
+    wanted = sorted((r for r in rows * 2 if r[-1] == 0), key=str)
+    assert sorted(map(tuple, found.collect()), key=str) == wanted
