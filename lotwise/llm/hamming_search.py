@@ -60,10 +60,10 @@ def _masks(weight: int) -> Column:
 
 
 def _rounds(segments: int) -> list[range]:
-    """Steps searched together: the cheap ones up to two bits a segment, then a whole radius, from
-    the fifth bit on one segment at a time."""
+    """Steps searched together: the cheap ones up to one bit a segment, which bound the distance of
+    most queries, then a whole radius, from the fifth bit on one segment at a time."""
     last = segments * (SEGMENT + 1)
-    rounds = [range(0, 3 * segments), range(3 * segments, 4 * segments), range(4 * segments, 5 * segments)]
+    rounds = [range(0, 2 * segments), *(range(r * segments, (r + 1) * segments) for r in (2, 3, 4))]
     return rounds + [range(t, t + 1) for t in range(5 * segments, last)]
 
 
