@@ -25,6 +25,8 @@ STATE = {
     # All stores of one executor share this much memory outside the heap.
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64",
+    # A store gives back its memory and its local files at the end of each micro-batch.
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
 }
 # Rows of the ledger for which one store is opened, as long as shuffles have that many partitions.
 ROWS_PER_STORE = 50_000
