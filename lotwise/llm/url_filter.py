@@ -1,8 +1,8 @@
 """URL filter: a blocked Bloom filter of listed canonical URLs in front of an exact hash join.
 
 A listed rule is a host and a path; its canonical URL is their concatenation. A page is judged by
-the canonical URLs that could list it: each suffix of its host at a label boundary, followed by
-each prefix of its path that is as long as some listed path. These candidates are probed in the
+the canonical URLs that could list it: each suffix of its host at a label boundary that is as long
+as some listed host, followed by each prefix of its path that is as long as some listed path. These candidates are probed in the
 filter, 64 bits to a block, and only possible hits take part in the join that decides. False
 positives of the filter find no partner there, so they never reach the result.
 """
@@ -73,24 +73,31 @@ def block_count(n_rules: int, max_blocks: int = MAX_BLOCKS) -> int:
     return min(max_blocks, 1 << (wanted - 1).bit_length())
 
 
-def candidates(urls: DataFrame, lengths: list[int]) -> DataFrame:
-    """Every canonical URL that could list a page: ``_url``, ``_key``."""
-    labels = F.split("_host", r"\.")
+def candidates(urls: DataFrame, hosts: list[int], paths: list[int]) -> DataFrame:
+    """Every canonical URL that could list a page: ``_url``, ``_key``.
+
+    Only suffixes and prefixes as long as some listed host and path, ``hosts`` and ``paths``, are
+    cut out, so a host of very many labels costs no more than the list has lengths.
+    """
+    whole = F.length("_host")
+    at_label = lambda n: (n == whole) | (F.substring(F.col("_host"), whole - n, F.lit(1)) == ".")
     suffixes = F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
-        lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
+        F.filter(_lengths(hosts), lambda n: (n <= whole) & at_label(n)),
+        lambda n: F.substring(F.col("_host"), whole - n + 1, n),
     )
-    sizes = F.array(*[F.lit(n) for n in lengths])
     prefixes = F.transform(
-        F.filter(sizes, lambda n: n <= F.length("_path")),
+        F.filter(_lengths(paths), lambda n: n <= F.length("_path")),
         lambda n: F.substring(F.col("_path"), F.lit(1), n),
     )
-    hosts = urls.filter(F.length("_host") > 0)
-    hosts = hosts.select("_url", "_path", F.explode(suffixes).alias("_suffix"))
-    parts = hosts.select("_url", "_suffix", F.explode(prefixes).alias("_prefix"))
+    placed = urls.select("_url", "_path", F.explode(suffixes).alias("_suffix"))
+    parts = placed.select("_url", "_suffix", F.explode(prefixes).alias("_prefix"))
     return parts.select("_url", F.concat("_suffix", "_prefix").alias("_key"))
 
 
+def _lengths(found: list[int]) -> Column:
+    return F.array(*[F.lit(n) for n in found]).cast("array<int>")
+
+
 def possible_hits(probes: DataFrame, rules: DataFrame, max_blocks: int = MAX_BLOCKS) -> DataFrame:
     """The candidates whose bits are all set; a superset of the listed ones."""
     blocks = block_count(rules.count(), max_blocks)
@@ -120,10 +127,12 @@ def judge_urls(
     once, and rows meet the verdict of their URL in a join that the planner can split.
     """
     own = listed(rules)
-    lengths = sorted(r[0] for r in own.select(F.length("_path")).distinct().collect())
+    hosts, paths = (
+        sorted(r[0] for r in own.select(F.length(name)).distinct().collect()) for name in ("_host", "_path")
+    )
     urls = pages.select(F.col(url).alias("_url")).filter(F.col("_url").isNotNull()).distinct()
     urls = urls.withColumns({"_host": host_of(F.col("_url")), "_path": path_of(F.col("_url"))})
-    probes = candidates(urls, lengths or [0])
+    probes = candidates(urls, hosts, paths)
     hits = possible_hits(probes, own, max_blocks)
     rank = F.struct(F.length("_key"), F.length("_host"), "_key", "_verdict")
     best = hits.join(own, "_key").groupBy("_url").agg(F.max(rank).alias("_best"))
@@ -150,7 +159,7 @@ RULES = (
 
 def query(spark, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
-    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    rules = spark.sql(f"VALUES {', '.join(map(str, RULES))} AS rules(host, path, verdict)")
     return judge_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 

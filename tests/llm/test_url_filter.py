@@ -79,3 +79,20 @@ def test_a_long_url(spark):
 def test_the_path_to_the_verdict_has_no_python(spark):
     plan = url_filter.query(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_hosts_of_very_many_labels(spark):
+    """A megabyte of labels ends in seconds, as only as many suffixes as lists have lengths count."""
+    long = "a." * 500_000
+    got = judged(spark, [f"http://{long}net/es/x", f"http://{long}www.example.com/en/", f"http://{long}", "x://.com/"])
+    assert got[f"http://{long}net/es/x"][2:] == ("net/es/", "block")
+    assert got[f"http://{long}www.example.com/en/"][2:] == ("www.example.com/en/", "allow")
+    assert got[f"http://{long}"] == (long, "", None, "allow")
+    assert got["x://.com/"] == (".com", "/", "com/", "allow")
+
+
+def test_no_python_in_the_plan(spark):
+    df = url_filter.query(spark, SF_DIR)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for word in ("Python", "Arrow", "ExistingRDD"):
+        assert word not in plan
