@@ -49,3 +49,25 @@ def test_empty_table_and_long_text(spark):
     assert rows_of(deduplicate(documents(spark, [long, long, long + "x"]))) == [
         (0, 1, 2, False), (1, 1, 2, True), (2, 2, 1, True),
     ]
+
+
+def derived(spark, tmp_path):
+    """Frames in which rows of a file occur more than once."""
+    path = str(tmp_path / "docs")
+    spark.createDataFrame([(1, ["a", "a", "b"]), (2, ["b"])], "doc_id long, texts array<string>").write.parquet(path)
+    rows = spark.read.parquet(path)
+    exploded = rows.select("doc_id", F.explode("texts").alias("text"))
+    stored = exploded.filter("doc_id = 1")
+    twice = spark.createDataFrame([(0,), (1,)], "n int")
+    yield exploded, 2
+    yield stored.unionByName(stored), 2
+    yield rows.select("doc_id", F.col("texts")[0].alias("text")).crossJoin(twice), 2
+    yield rows.select("doc_id", F.col("texts")[0].alias("text")).filter("doc_id > 0"), 2
+
+
+def test_rows_of_derived_frames_are_told_apart(spark, tmp_path):
+    for docs, kept in derived(spark, tmp_path):
+        rows = deduplicate(docs).collect()
+        assert len(rows) == docs.count()
+        assert sum(r["kept"] for r in rows) == kept
+        assert keep_distinct(docs).count() == kept
