@@ -34,6 +34,8 @@ from lotwise.sources.staging import stage
 SKETCH_BITS, PART_BITS, FAN_IN = 20, 14, 1024
 # Largest set sizes for which subsets are considered.
 BOUNDARIES = (0, 2, 5, 10, 15, 20, 25, 30, 40, 50, 60, 80, 100, 150, 200, 300, 500, 1000)
+# Bits of a set's parity bitmap. It rules out pairs of up to some thousand shingles.
+PARITY_BITS = 512
 # Bits of the filter that spares texts without candidates a shuffle; 2 million words at most.
 MAX_FILTER_BITS = 1 << 27
 SLICE_BYTES = 4 << 20
@@ -99,19 +101,28 @@ def _signed(words: int, percent: int, levels):
         level = levels.value
         shift = np.uint64(64 - SKETCH_BITS)
         for batch in _slices(batches):
-            sizes, digests, prefixes = [], [], []
+            sizes, digests, prefixes, bitmaps = [], [], [], []
             for own in shingle_sets(batch.column(0), words):
                 order = np.argsort(level[(own >> shift).astype(np.int64)], kind="stable")
                 n = len(own)
                 sizes.append(n)
                 digests.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
                 prefixes.append(own[order[: n - least_shared(n, percent) + 2]].view(np.int64))
+                slots = (own & np.uint64(PARITY_BITS - 1)).astype(np.int64)
+                odd = np.bincount(slots, minlength=PARITY_BITS) & 1
+                bitmaps.append(np.packbits(odd.astype(np.uint8)).view(np.int64).tolist())
             ends = np.cumsum([0, *map(len, prefixes)])
             flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], pa.array(sizes, pa.int32()), pa.array(digests, pa.binary()), lists],
-                [*batch.schema.names[1:], "n", "digest", "prefix"],
+                [
+                    *batch.columns[1:],
+                    pa.array(sizes, pa.int32()),
+                    pa.array(digests, pa.binary()),
+                    lists,
+                    pa.array(bitmaps, pa.list_(pa.int64())),
+                ],
+                [*batch.schema.names[1:], "n", "digest", "prefix", "bitmap"],
             )
 
     return run
@@ -126,8 +137,10 @@ def _id_type(docs: DataFrame) -> str:
 
 
 def signatures(docs: DataFrame, words: int, percent: int, levels) -> DataFrame:
-    """Of every row: the size and digest of its shingle set, and its rarest shingles in order."""
-    fields = f"_id {_id_type(docs)}, {PLACE[0]} string, {PLACE[1]} long, n int, digest binary, prefix array<long>"
+    """Of every row: the size and digest of its shingle set, its rarest shingles in order, and the
+    parity of the number of its shingles in each of some slots."""
+    kind = _id_type(docs)
+    fields = f"_id {kind}, {PLACE[0]} string, {PLACE[1]} long, n int, digest binary, prefix array<long>, bitmap array<long>"
     rows = docs.select("_text", "_id", *PLACE)
     return stage(rows.mapInArrow(_signed(words, percent, levels), fields), "signatures")
 
@@ -136,7 +149,10 @@ def classes_of(signed: DataFrame) -> DataFrame:
     """One row per distinct non-empty set, with a number and the place of one of its rows."""
     grouped = signed.filter("n > 0").groupBy("digest", "n")
     found = grouped.agg(
-        F.min("_id").alias("least"), F.min(F.struct(*PLACE)).alias("at"), F.first("prefix").alias("prefix")
+        F.min("_id").alias("least"),
+        F.min(F.struct(*PLACE)).alias("at"),
+        F.first("prefix").alias("prefix"),
+        F.first("bitmap").alias("bitmap"),
     )
     return stage(found.withColumn("cls", F.monotonically_increasing_id()), "classes")
 
@@ -237,10 +253,23 @@ def star_pairs(postings: DataFrame, percent: int) -> DataFrame:
     return rows.filter(apart & _possible("x", "c", percent)).select(*_pair("x", "c")).distinct()
 
 
-def open_pairs(postings: DataFrame, roots: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
+def _even(left: str, right: str, percent: int) -> Column:
+    """Whether the parities of two sets differ in no more slots than similar sets have shingles
+    that are not shared; every slot that differs holds one such shingle at least."""
+    words = range(PARITY_BITS // 64)
+    differ = [F.bit_count(F.col(f"{left}.bitmap")[i].bitwiseXOR(F.col(f"{right}.bitmap")[i])) for i in words]
+    total = F.col(f"{left}.n") + F.col(f"{right}.n")
+    return sum(differ[1:], differ[0]) * (100 + percent) <= total * (100 - percent)
+
+
+def open_pairs(
+    postings: DataFrame, classes: DataFrame, roots: DataFrame, tested: DataFrame, percent: int
+) -> DataFrame:
     """The members of a key that are still in different components, without pairs tested before.
 
-    Of the two members one is outside the largest component of the key.
+    Of the two members one is outside the largest component of the key. Members that share a
+    passage and little else, of which a key may have very many, are told apart by their parities
+    within the join, so the pairs that leave it are few.
     """
     rows = postings.join(roots.withColumnRenamed("node", "cls"), "cls", "left")
     rows = rows.withColumn("root", F.coalesce("root", "cls"))
@@ -249,10 +278,11 @@ def open_pairs(postings: DataFrame, roots: DataFrame, tested: DataFrame, percent
         F.count(F.lit(1)).alias("roots"), F.max(F.struct("size", "root")).alias("top")
     )
     keys = largest.filter("roots > 1").select("key", F.col("top.root").alias("top"))
-    rows = stage(rows.join(keys, "key"), "open")
+    rows = stage(rows.join(keys, "key").join(classes.select("cls", "bitmap"), "cls"), "open")
     outside = rows.filter("root != top").alias("x")
     apart = F.col("x.root") != F.col("y.root")
-    met = outside.join(rows.alias("y"), "key").filter(apart & _possible("x", "y", percent))
+    possible = apart & _possible("x", "y", percent) & _even("x", "y", percent)
+    met = outside.join(rows.alias("y"), "key").filter(possible)
     return met.select(*_pair("x", "y")).distinct().join(tested, ["a", "b"], "left_anti")
 
 
@@ -393,7 +423,7 @@ def near_duplicates(
     tested = stage(star_pairs(postings, percent), "star")
     near = plausible(classes, tested, percent, levels)
     roots = connected(linked(rows, classes, near, words, percent))
-    rest = plausible(classes, open_pairs(postings, roots, tested, percent), percent, levels)
+    rest = plausible(classes, open_pairs(postings, classes, roots, tested, percent), percent, levels)
     if not rest.isEmpty():
         more = linked(rows, classes, rest, words, percent)
         own = roots.select(F.col("node").alias("b"), F.col("root").alias("a"))

@@ -29,10 +29,15 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(n: int) -> np.ndarray:
-    powers = np.full(n, WORD_BASE, np.uint64)
-    powers[0] = 1
-    return np.cumprod(powers, dtype=np.uint64)
+def _placed(values: np.ndarray, position: np.ndarray) -> np.ndarray:
+    """A number for every byte by its value and its position in its word, 0 for bytes between words.
+
+    Each is mixed by itself before a word's numbers are added up, as sums of powers are the same
+    for some pairs of words, whatever the base.
+    """
+    own = mixed((values + (position.astype(np.uint64) << np.uint64(9))) * np.uint64(WORD_BASE))
+    own[values == 0] = 0
+    return own
 
 
 def _windows(space: np.ndarray, breaks: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -77,7 +82,7 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         # Position of every byte within its word; bytes between words have the value 0.
         lengths = np.diff(np.append(begins, len(inside)))
         position = np.arange(begins[0], len(inside)) - np.repeat(begins, lengths)
-        values = _VALUE[everything[start + begins[0] : end]] * _powers(int(lengths.max()))[position]
+        values = _placed(_VALUE[everything[start + begins[0] : end]], position)
         hashes.append(mixed(np.add.reduceat(values, begins - begins[0])))
         places.append(begins + start)
     place = np.concatenate(places)

@@ -140,3 +140,29 @@ def test_boundary_follows_cost(spark):
     assert ngram_join.boundary(classes, lists(2), 90) < 10
     assert 10 <= ngram_join.boundary(classes, lists(2150), 90) < 400
     assert ngram_join.boundary(classes.limit(0), lists(2), 90) == 0
+
+
+def test_words_that_equal_sums_of_powers_confuse_are_told_apart():
+    """The Thue-Morse word over a and b and its complement, for any odd base."""
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    hashes, _ = shingles.word_hashes(pa.array([word, other, "A" + word[1:]]))
+    assert hashes[0] != hashes[1] and hashes[0] == hashes[2]
+
+
+def test_pairs_of_a_shared_passage_grow_with_its_documents(spark):
+    """Documents that share a passage and nothing else leave no pairs to be checked."""
+    passage = " ".join(f"p{i}" for i in range(60))
+    counts = []
+    for size in (40, 160):
+        texts = [passage + " " + " ".join(f"d{d}w{i}" for i in range(60)) for d in range(size)]
+        rows = ngram_join._rows(documents(spark, texts), "doc_id", "text")
+        levels = ngram_join.shared_rarity(rows, 5)
+        classes = ngram_join.classes_of(ngram_join.signatures(rows, 5, 80, levels))
+        postings = ngram_join.candidates(classes, 80)
+        none = spark.createDataFrame([], "node long, root long")
+        tested = spark.createDataFrame([], "a long, b long")
+        counts.append(ngram_join.open_pairs(postings, classes, none, tested, 80).count())
+    assert counts[1] <= 4 * counts[0] + 16
