@@ -50,6 +50,7 @@ from lotwise.plans.rate_table import in_key_order, rate_table  # noqa: E402
 from lotwise.settings import Settings, basic, refined  # noqa: E402
 from lotwise.sources.documents import read_document  # noqa: E402
 from lotwise.sources.events import day_events, read_events  # noqa: E402
+from lotwise.sources.file_index import read_indexed_events  # noqa: E402
 from lotwise.sources.requests import Request, parse_request  # noqa: E402
 from lotwise.sources.rollups import rollup_rows  # noqa: E402
 from lotwise.sources.sinks import write_rates  # noqa: E402
@@ -79,6 +80,8 @@ OVERRIDE_LEAVES = (
 REQUEST = '{"filename": "rates.json", "minBidRate": "5", "override": ' + OVERRIDE + "}"
 # Parts of every bidder's document, and files of the published one.
 DOCUMENT_PARTS = 8
+# Files of events stored by time.
+EVENT_FILES = 16
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -238,6 +241,12 @@ class Steps:
         by_day.write.partitionBy("day").parquet(path)
         return self._timed(read_events(self.spark, path, self.settings, day_column="day"))
 
+    def indexed_events(self) -> DataFrame:
+        """Events stored by time without a day column, read by an index of their files."""
+        path, index = (staged_path(self.spark, name) for name in ("events", "index"))
+        self.events.repartitionByRange(EVENT_FILES, "record_date").write.parquet(path)
+        return self._timed(read_indexed_events(self.spark, path, index, self.settings))
+
     def rate_violations(self) -> DataFrame:
         """Candidate rates straight from events, which break every row rule."""
         candidates = self.events.select(
@@ -321,6 +330,7 @@ BOTH = (
     "requested_document",
     "flat_rates",
     "windowed_events",
+    "indexed_events",
 )
 
 
@@ -354,6 +364,7 @@ def _oracle(method: str, variant: str) -> str:
         "last_day_events": lambda: oracle.events_in(last_day_only=True),
         "long_window_events": lambda: oracle.events_in(last_day_only=False),
         "windowed_events": lambda: oracle.events_in(last_day_only=False),
+        "indexed_events": lambda: oracle.events_in(last_day_only=False),
         "base_rollup": oracle.base_rollup,
         "daily_sums": oracle.daily_sums,
         "conditional_sums": oracle.conditional_sums,

@@ -13,6 +13,7 @@ from lotwise.plans.daily import daily_rate_table
 from lotwise.plans.publish import publish, publish_rates
 from lotwise.settings import MIN_REQUESTS, basic, refined, utc_today
 from lotwise.sources.events import day_events, read_events, table_day_events, table_events
+from lotwise.sources.file_index import read_indexed_events
 from lotwise.sources.requests import parse_request
 from lotwise.sources.staging import freed_staging
 
@@ -38,6 +39,7 @@ def main(argv: list[str] | None = None) -> str:
     parser.add_argument("--min-rpr", type=float)
     parser.add_argument("--files", type=int, help="publish a folder of up to this many files")
     parser.add_argument("--day-column", help="DATE partition column of the event table")
+    parser.add_argument("--index", help="folder of an index of event files, without a day column")
     parser.add_argument("--rollup", help="folder of daily sums; only days it lacks are read")
     parser.add_argument(
         "--again", type=date.fromisoformat, action="append", default=[],
@@ -45,6 +47,8 @@ def main(argv: list[str] | None = None) -> str:
     )
     parser.add_argument("--request", help='JSON options: {"override": {...}, "filename": "..."}')
     args = parser.parse_args(argv)
+    if args.index and (args.table or args.day_column or args.rollup):
+        parser.error("--index is for --events without --day-column and --rollup")
 
     logging.basicConfig(level=logging.INFO)
     spark = SparkSession.builder.appName("lotwise").getOrCreate()
@@ -60,8 +64,11 @@ def main(argv: list[str] | None = None) -> str:
         with freed_staging(spark):
             rates = daily_rate_table(spark, read, args.rollup, settings, args.again)
             return publish_rates(rates, args.out, request, args.rates, files=args.files)
-    read = table_events if args.table else read_events
-    events = read(spark, place, settings, args.day_column)
+    if args.index:
+        events = read_indexed_events(spark, place, args.index, settings)
+    else:
+        read = table_events if args.table else read_events
+        events = read(spark, place, settings, args.day_column)
     return publish(events, settings, args.out, request, args.rates, files=args.files)
 
 

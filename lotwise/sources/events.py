@@ -70,7 +70,7 @@ def check_columns(events: DataFrame, settings: Settings) -> DataFrame:
     return events
 
 
-def _in_long_window(events: DataFrame, settings: Settings) -> DataFrame:
+def long_window_events(events: DataFrame, settings: Settings) -> DataFrame:
     return events.filter(in_window(F.col("record_date"), settings.long_start, settings.day_end))
 
 
@@ -101,7 +101,7 @@ def read_events(
 ) -> DataFrame:
     """Events of the long window; ``day_column`` as for ``day_events``. Without it the time filter
     alone prunes Parquet row groups."""
-    return _in_long_window(day_events(spark, path, settings.days, day_column), settings)
+    return long_window_events(day_events(spark, path, settings.days, day_column), settings)
 
 
 def table_day_events(
@@ -120,4 +120,4 @@ def table_events(
     spark: SparkSession, name: str, settings: Settings, day_column: str | None = None
 ) -> DataFrame:
     """Events of the long window of a catalog table."""
-    return _in_long_window(table_day_events(spark, name, settings.days, day_column), settings)
+    return long_window_events(table_day_events(spark, name, settings.days, day_column), settings)
