@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 from functools import reduce
+from os.path import commonprefix
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -26,10 +27,19 @@ FINE, HEAVY, PIECE = 0.0005, 0.02, 0.01
 ROWS_PER_BUCKET = 200_000
 
 
-def code(value: Column) -> Column:
-    """The first six bytes of a string as a number with the order of the strings; null is 0."""
-    head = F.rpad(F.hex(F.substring(F.encode(F.coalesce(value, F.lit("")), "UTF-8"), 1, 6)), 12, "0")
-    return F.conv(head, 16, 10).cast("double")
+def code(value: Column, skipped: int = 0) -> Column:
+    """The first six bytes of a string behind ``skipped`` ones, as a number with the order of
+    strings that agree in those; null is 0."""
+    head = F.substring(F.encode(F.coalesce(value, F.lit("")), "UTF-8"), skipped + 1, 6)
+    return F.conv(F.rpad(F.hex(head), 12, "0"), 16, 10).cast("double")
+
+
+def codes(docs: DataFrame, names: list[str]) -> dict[str, Column]:
+    """The codes of string columns, each behind the bytes that all its values begin with: those
+    that its smallest and its largest value have in common."""
+    ends = docs.agg(*[f(F.encode(F.col(c), "UTF-8")) for c in names for f in (F.min, F.max)]).first()
+    common = [len(commonprefix([bytes(e or b"") for e in ends[i : i + 2]])) for i in range(0, len(ends), 2)]
+    return {c: code(F.col(c), skipped) for c, skipped in zip(names, common)}
 
 
 def _ledger(docs: DataFrame, id_col: str, text: str, dims: dict[str, Column]) -> DataFrame:
@@ -198,8 +208,7 @@ def shard_documents(
     columns are not read.
     """
     if dims is None:
-        names = {"lang": code(F.col("lang")), "source": code(F.col("source"))}
-        dims = {"size": F.octet_length(text), **names, "id": F.col(id_col)}
+        dims = {"size": F.octet_length(text), **codes(docs, ["lang", "source"]), "id": F.col(id_col)}
     n = len(dims)
     ledger = _ledger(docs, id_col, text, dims)
     total = ledger.agg(F.sum("_size")).first()[0] or 0

@@ -78,3 +78,30 @@ def test_nulls_repeated_rows_clashing_names_and_empty_tables(spark):
     assert sorted(r["size"] for r in rows) == [1, 1, 1, 3]
     check_slots(rows)
     assert shard_documents(docs.limit(0), shards=2).collect() == []
+
+
+def test_strings_are_told_apart_behind_their_common_beginning(spark):
+    names = [f"common-crawl-{i:02d}" for i in range(50)] + [None]
+    docs = spark.createDataFrame([(n,) for n in names], "source string")
+    rows = docs.select("source", sharding.codes(docs, ["source"])["source"].alias("code")).collect()
+    assert len({r["code"] for r in rows}) == 51
+    ordered = sorted(rows, key=lambda r: r["code"])
+    assert [r["source"] for r in ordered] == [None, *names[:-1]]
+    for few in ([], ["é"], ["a", "ab"], ["", None], [None]):
+        docs = spark.createDataFrame([(n,) for n in few], "source string")
+        found = docs.select("source", sharding.codes(docs, ["source"])["source"].alias("code")).collect()
+        assert len({r["code"] for r in found}) <= max(1, len(few))
+
+
+def test_sources_with_one_beginning_are_a_dimension(spark):
+    """Two kinds of documents that only their sources tell apart meet in no shard but one."""
+    docs = spark.range(2000).select(
+        F.col("id").alias("doc_id"), F.lpad("id", 50, "0").alias("text"), F.lit("en").alias("lang"),
+        F.concat(F.lit("common-crawl-"), F.when(F.xxhash64("id") % 2 == 0, "aaaa").otherwise("zzzz")).alias("source"),
+    )
+    dims = {"source": sharding.codes(docs, ["source"])["source"]}
+    placed = shard_documents(docs, shards=4, dims=dims).join(docs.select("doc_id", "source"), "doc_id")
+    homes = defaultdict(set)
+    for r in placed.collect():
+        homes[r["shard"]].add(r["source"])
+    assert sum(len(h) for h in homes.values()) <= 5
