@@ -147,4 +147,6 @@ def model_of(docs: DataFrame) -> dict[str, bytes]:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     fold = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
-    return identify(fold, model_of(docs)).select("doc_id", "held_out", "lang_pred", "score")
+    return identify(fold, model_of(docs)).select(
+        "doc_id", "held_out", "lang_pred", "score", "rejected"
+    )
