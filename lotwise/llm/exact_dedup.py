@@ -30,8 +30,9 @@ STATE = {
 }
 # Rows of the ledger for which one store is opened, as long as shuffles have that many partitions.
 ROWS_PER_STORE = 50_000
-# Bytes of the ledger in one micro-batch.
-BATCH_BYTES = 16 << 30
+# Bytes of the ledger in one micro-batch at most, and micro-batches that a ledger is read in at
+# least, as far as it has files for them.
+BATCH_BYTES, LEAST_BATCHES = 16 << 30, 4
 
 
 def sha256(text: Column) -> Column:
@@ -77,6 +78,12 @@ def fold_stream(
     return spark.read.parquet(table)
 
 
+def _batch_bytes(spark: SparkSession, path: str, most: int) -> int:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return max(1, min(most, fs.getContentSummary(folder).getLength() // LEAST_BATCHES))
+
+
 def _same_place(keep: Column) -> Column:
     return (keep[PLACE[0]] == F.col(PLACE[0])) & (keep[PLACE[1]] == F.col(PLACE[1]))
 
@@ -107,7 +114,7 @@ def _judge(docs: DataFrame, digest, batch_bytes: int) -> DataFrame:
         one = F.lit(1).cast("long")
         groups = ledger.select("_digest", F.struct("_id", *PLACE).alias("_keep"), one.alias("_seen"))
     else:
-        groups = fold_stream(ledger, path, rows, batch_bytes)
+        groups = fold_stream(ledger, path, rows, _batch_bytes(spark, path, batch_bytes))
     other = stage(colliding(docs, groups, digest), "dedup-collisions")
 
     less = other.groupBy("_digest").agg(F.count(F.lit(1)).alias("_less"))
