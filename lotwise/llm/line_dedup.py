@@ -197,55 +197,3 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return dedup_lines(docs)
 
-
-ORACLE = rf"""
-WITH texts AS (
-    SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
-), lines AS (
-    SELECT doc_id, unnest(range(len(ls))) AS pos, unnest(ls) AS line FROM texts
-), stripped AS (
-    SELECT doc_id, pos, line,
-        trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS bare FROM lines
-), cut AS (
-    SELECT doc_id, pos, line,
-        regexp_replace(bare, '[^{_SPACE}]*[0-9][^{_SPACE}]*', '{VARIABLE}', 'g') AS m
-    FROM stripped WHERE bare <> ''
-), placed AS (
-    SELECT *, string_split_regex(m, '[{_SPACE}]+') AS t FROM cut
-), leafed AS (
-    SELECT doc_id, pos, m, t, len(t) AS n, array_to_string(t[1:{DEPTH}], ' ') AS lead FROM placed
-), kinds AS (
-    SELECT n, lead, m, any_value(t) AS t, count(DISTINCT doc_id) AS docs FROM leafed GROUP BY n, lead, m
-), leaves AS (
-    SELECT n, lead, sum(docs) AS heard FROM kinds GROUP BY n, lead HAVING count(*) > 1
-), spread AS (
-    SELECT k.n, k.lead, k.m, k.docs, unnest(range(k.n)) AS i, unnest(k.t) AS word
-    FROM kinds k JOIN leaves USING (n, lead)
-), constants AS (
-    SELECT s.n, s.lead, s.i, s.word FROM spread s JOIN leaves l USING (n, lead)
-    GROUP BY s.n, s.lead, s.i, s.word, l.heard HAVING 2 * sum(s.docs) > l.heard
-), general AS (
-    SELECT n, lead FROM constants GROUP BY n, lead HAVING 10 * count(*) >= {CONSTANT} * n
-), fitting AS (
-    SELECT s.n, s.lead, s.m FROM spread s JOIN general USING (n, lead)
-    LEFT JOIN constants c ON s.n = c.n AND s.lead = c.lead AND s.i = c.i
-    GROUP BY s.n, s.lead, s.m
-    HAVING 10 * count(*) FILTER (WHERE c.word <> s.word) <= {DIFFERENT} * s.n
-), named AS (
-    SELECT l.doc_id, l.pos, l.n, l.lead, CASE WHEN f.m IS NULL THEN l.m END AS own
-    FROM leafed l LEFT JOIN fitting f ON l.n = f.n AND l.lead = f.lead AND l.m = f.m
-), counted AS (
-    SELECT n, lead, own, count(DISTINCT doc_id) AS docs, min(doc_id) AS first_doc
-    FROM named GROUP BY n, lead, own
-), gone AS (
-    SELECT x.doc_id, x.pos FROM named x JOIN counted c
-    ON x.n = c.n AND x.lead = c.lead AND x.own IS NOT DISTINCT FROM c.own
-    WHERE c.docs >= {MIN_DOCS} AND x.doc_id <> c.first_doc
-)
-SELECT s.doc_id,
-    coalesce(string_agg(s.line, chr(10) ORDER BY s.pos) FILTER (WHERE g.pos IS NULL), '') AS clean_text,
-    CAST(count(*) FILTER (WHERE s.bare <> '') AS INTEGER) AS n_lines,
-    CAST(count(g.pos) AS INTEGER) AS n_dropped
-FROM stripped s LEFT JOIN gone g ON s.doc_id = g.doc_id AND s.pos = g.pos
-GROUP BY s.doc_id
-"""

@@ -36,7 +36,6 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
-    "op3_line_dedup": line_dedup.ORACLE,
     "op4_exact_dedup": exact_dedup.ORACLE,
     "op8_url_filter": url_filter.ORACLE,
     "op9_hamming_search": hamming_search.ORACLE,
