@@ -11,6 +11,7 @@ import os
 import sys
 import tempfile
 import time
+from functools import partial
 from pathlib import Path
 from statistics import median
 
@@ -20,11 +21,13 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from lotwise.operators.counters import counters  # noqa: E402
-from lotwise.operators.document import fold_rates  # noqa: E402
+from lotwise.operators.document import fold_rates, unfold_rates  # noqa: E402
 from lotwise.operators.entries import host_entries  # noqa: E402
+from lotwise.plans.daily import daily_rate_table, refresh_rollup  # noqa: E402
 from lotwise.plans.publish import publish_rates  # noqa: E402
 from lotwise.plans.rate_table import rate_table  # noqa: E402
-from lotwise.sources.events import read_events  # noqa: E402
+from lotwise.sources.documents import read_document  # noqa: E402
+from lotwise.sources.events import day_events, read_events  # noqa: E402
 from lotwise.sources.staging import stage  # noqa: E402
 from lotwise_checks.comparison import rate_table_by_scans  # noqa: E402
 from lotwise_checks.fixtures import bid_events, fixture_settings  # noqa: E402
@@ -73,10 +76,18 @@ def main() -> None:
         timed[f"rate_table_by_scans_{variant}"] = lambda own=own, scan=scan: run(
             rate_table_by_scans(scan(), own)
         )
+        # The run of a day whose events are new, on sums of the days before.
+        read, store = partial(day_events, spark, table, day_column="day"), f"{scratch}/sums"
+        refresh_rollup(spark, read, store, own)
+        timed[f"rate_table_daily_{variant}"] = lambda own=own, read=read, store=store: run(
+            daily_rate_table(spark, read, store, own, again=own.days[-1:])
+        )
         timed[f"rate_table_from_raw_{variant}"] = lambda own=own: run(rate_table(events, own))
     rates = stage(rate_table(scan(), own), "rates")
     timed["fold"] = lambda: run(fold_rates(rates))
     timed["publish"] = lambda: publish_rates(rates, f"{scratch}/published")
+    split = publish_rates(rates, f"{scratch}/split", files=8)
+    timed["read_document"] = lambda: run(unfold_rates(read_document(spark, split)))
 
     seconds = {}
     for name, work in timed.items():
