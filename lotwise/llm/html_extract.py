@@ -20,8 +20,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Elements of HTML by what they do to text.
-RAW = ("script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "xmp",
-       "noframes", "select", "object", "canvas", "audio", "video")
+RAW = ("script", "style", "textarea", "title", "noscript", "iframe", "xmp", "noembed", "noframes")
+# Elements whose contents are parsed but are no text of the page.
+SILENT = ("template", "svg", "math", "select", "datalist", "object", "canvas", "audio", "video")
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark nobr q rp rt ruby"
     " s samp small span strike strong sub sup time tt u var wbr label".split()
@@ -52,15 +53,24 @@ OF_ELEMENT = {"article": 320, "main": 240, "nav": -900, "aside": -900, "footer":
 HEADER_OF_ARTICLE = -200
 GOOD_NAME, BAD_NAME, HIDDEN = 180, -900, -1200
 GOOD = re.compile(r"article|content|main|post|entry|story|text|body")
-BAD = re.compile(
-    r"\b(?:ads?|adverts?|advertisement|advertising|adsense|banner|breadcrumbs?|bottom|byline|comments?|"
-    r"commentlist|consent|contentinfo|complementary|cookies?|copyright|dialog|disclaimer|disqus|feedback|"
-    r"foot|footer|footnav|gdpr|head|header|legal|links|login|masthead|menu|menubar|meta|modal|nav|navbar|"
-    r"navigation|newsletter|notice|notices|notification|overlay|pager|pagination|paywall|popup|privacy|"
-    r"promo|promotion|promoted|rail|recommend|recommended|register|related|replies|reply|respond|search|"
-    r"share|sharing|side|sidebar|signup|sitemap|skip|social|sponsor|sponsored|subscribe|tags|teaser|"
-    r"toolbar|topbar|trending|warning|alert|widget|discussion|reviews)\b"
+BAD = frozenset(
+    "ad ads advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs bottom byline"
+    " comment comments commentlist consent contentinfo complementary cookie cookies copyright dialog"
+    " disclaimer disqus feedback foot footer footnav gdpr head header legal links login masthead menu"
+    " menubar meta modal nav navbar navigation newsletter notice notices notification overlay pager"
+    " pagination paywall popup privacy promo promotion promoted rail recommend recommended register"
+    " related replies reply respond search share sharing side sidebar signup sitemap skip social sponsor"
+    " sponsored subscribe tags teaser toolbar topbar trending warning alert widget discussion reviews".split()
 )
+# Words that name the box and not what is in it; names that say what an article is about; names
+# that are a phrase; and words of a heading, which an article has too.
+BOX = frozenset(
+    "wrapper wrap inner outer container section box area list block item items slot unit panel bar row"
+    " col column group form zone holder frame top left right".split()
+)
+TOPIC = re.compile(r"(?:category|cat|tags?|topic|label|term|tax|taxonomy|author|format|status|keyword)[-_]", re.I)
+PHRASE = re.compile(r"side[-_]by[-_]side|head[-_]to[-_]head|(?:has|with|without|no)[-_]", re.I)
+HEADING = frozenset(["head", "header"])
 # Edges: following blocks of one element, of elements a few steps apart, and the next of the
 # same element behind something else.
 BESIDE, APART, RESUMED = 90, 45, 60
@@ -77,9 +87,8 @@ _ATTRIBUTE = re.compile(r"[\s/]*+=?[^\s/<>=]++(?:\s*+=\s*+(?:([\"'])|[^\s<>]*+))
 _CLOSED = re.compile(r"[\s/]*+>")
 _STRAY = re.compile(r"[^<>]*+>")
 _MARKUP = re.compile(r"</[^>]*(?:>|\Z)")
-_MODIFIER = re.compile(r"\b(?:has|with|without|no) \w+")
-_NAME = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"(?<![\w-])hidden(?![\w-])|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_PAIR = re.compile(r"([^\s\"'<>/=]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?+")
+_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _SENTENCE = re.compile(r"[.!?…。]['\"”’)]*\s|[.!?…。]['\"”’)]*$")
 
@@ -98,16 +107,34 @@ class _Element:
         self.tag, self.number, self.cost, self.article = tag, number, cost, article
 
 
+def _name_cost(name: str) -> int:
+    """What one class, identifier or role says: a word against content counts at the beginning of
+    the name or at its end, words for boxes aside; inside a longer name it is part of a topic."""
+    if TOPIC.match(name) or PHRASE.match(name):
+        return 0
+    words = [w.lower() for w in _WORD.findall(name)]
+    while len(words) > 1 and words[-1] in BOX:
+        words.pop()
+    if not words:
+        return 0
+    good = GOOD.search(words[0])
+    if words[-1] in BAD:
+        return HEADER_OF_ARTICLE if good and words[-1] in HEADING else BAD_NAME
+    if words[0] in BAD and (len(words) < 3 or words[0] != "side"):
+        return BAD_NAME
+    return GOOD_NAME if GOOD.search(name.lower()) else 0
+
+
 def _named(attributes: str) -> int:
-    cost = HIDDEN if _HIDDEN.search(attributes) else 0
-    names = " ".join(x or y or z for x, y, z in _NAME.findall(attributes))
-    if names:
-        words = _MODIFIER.sub("", " ".join(_WORD.findall(names)).lower())
-        if BAD.search(words):
-            cost += BAD_NAME
-        elif GOOD.search(words):
-            cost += GOOD_NAME
-    return cost
+    """The cost of an element by its own attributes, the first of each name."""
+    own: dict[str, str] = {}
+    for name, *values in _PAIR.findall(attributes):
+        own.setdefault(name.lower(), "".join(values))
+    unseen = "hidden" in own or own.get("aria-hidden", "").lower() == "true" or _UNSEEN.search(own.get("style", ""))
+    names = " ".join(own.get(n, "") for n in ("class", "id", "role")).split()
+    costs = [_name_cost(n) for n in names]
+    against = min(costs, default=0)
+    return (HIDDEN if unseen else 0) + (against if against < 0 else max(costs, default=0))
 
 
 def _element(tag: str, attributes: str, number: int, parent: _Element) -> _Element:
@@ -133,6 +160,19 @@ def _block_cost(text: str, linked: int, tag: str, element: _Element) -> int:
     return cost
 
 
+def _silent_ends(html: str, tag: str) -> dict[int, int]:
+    """Where each element of a silent tag ends, by where its start tag does; without an end tag of
+    its own it is not there, and holds nothing."""
+    ends, open_at = {}, []
+    for found in re.finditer(rf"<(/?){tag}(?=[\s/>])[^>]*>", html, re.I):
+        if found.group(1):
+            if open_at:
+                ends[open_at.pop()] = found.end()
+        elif not found.group().endswith("/>"):
+            open_at.append(found.end())
+    return ends
+
+
 def _tag_end(html: str, at: int, known: dict[int, int]) -> int:
     """Where the tag ends whose attributes begin at ``at``, 0 if nowhere.
 
@@ -168,6 +208,7 @@ def page_blocks(html: str) -> list[Block]:
     linked, links = 0, 0
     at, size = 0, len(html)
     known: dict[int, int] = {}
+    silent: dict[str, dict[int, int]] = {}
 
     def close() -> None:
         nonlocal linked
@@ -215,6 +256,12 @@ def page_blocks(html: str) -> list[Block]:
             if not attributes.endswith("/>"):
                 at = close_tag.end() if close_tag else size
             continue
+        if tag in SILENT:
+            if not end:
+                if tag not in silent:
+                    silent[tag] = _silent_ends(html, tag)
+                at = silent[tag].get(at, at)
+            continue
         if tag in INLINE:
             if tag == "a":
                 links = 0 if end else 1
@@ -329,11 +376,18 @@ def minimum_cut(costs: list[int], edges: list[tuple[int, int, int]]) -> list[boo
 
 
 def main_text(html: str | None) -> tuple[str, int, int]:
-    """The text, the number of blocks of the page and how many of them the text has."""
+    """The text, the number of blocks of the page and how many of them the text has.
+
+    A page none of whose blocks is content, like one with a single short line, is judged again
+    without the bias against short blocks; what is named or tagged as something else stays out.
+    """
     if not html:
         return "", 0, 0
     blocks = page_blocks(html)
-    content = minimum_cut([b.cost for b in blocks], page_edges(blocks))
+    costs, edges = [b.cost for b in blocks], page_edges(blocks)
+    content = minimum_cut(costs, edges)
+    if not any(content):
+        content = minimum_cut([c - BIAS for c in costs], edges)
     kept = [b.text for b, own in zip(blocks, content) if own]
     return "\n\n".join(kept), len(blocks), len(kept)
 

@@ -84,6 +84,54 @@ def test_reading_of_attribute_values_stays_linear():
     assert time.process_time() - start < 30
 
 
+LONG = "These are words of an article, and there are quite a few of them. " * 9
+
+
+def test_names_of_topics_phrases_and_headings_do_not_cost_the_text():
+    text = LONG.strip()
+    for opened in (
+        '<article class="post category-privacy tag-search">',
+        '<article><div class="side-by-side">',
+        '<div class="product-reviews-guide content">',
+        '<article title="the hidden truth" data-a="overflow hidden">',
+        '<main class="no-sidebar with-menu">',
+        '<div id="main-content-wrapper" data-class="footer">',
+    ):
+        assert main_text(f"{opened}<p>{LONG}</p>")[0] == text, opened
+    page = f'<article><div class="article-header"><h1>The headline</h1></div><p>{LONG}</p></article>'
+    assert main_text(page)[0] == f"The headline\n\n{text}"
+
+
+def test_names_of_boilerplate_still_count():
+    inside = "<p>A sentence that is long enough to look like text, if it were not for its name.</p>"
+    for name in (
+        "cookie-notice", "ad-slot-3", "reader-comments", "commentList", "social-share-buttons", "site-header",
+        "comments-wrapper", "footer_inner", "newsletter-box", "SideBar", "related", "menu-item post", "entry-meta",
+    ):
+        assert main_text(f"<article><p>{LONG}</p><div class='x {name}'>{inside}</div></article>")[0] == LONG.strip(), name
+    for attributes in ("hidden", 'aria-hidden="true"', "style='color:red; display: none'", 'style="visibility:hidden"'):
+        assert main_text(f"<article><p>{LONG}</p><div {attributes}>{inside}</div></article>")[0] == LONG.strip()
+
+
+def test_elements_that_are_no_text_end_where_they_do():
+    for opened in ("<video src=x>", "<object data=y>", "<svg viewBox='0 0 1 1'/>", "<canvas>", "<template>"):
+        assert main_text(f"<article><p>{LONG}</p>{opened}<p>{LONG}</p>")[0].count("These") == 18, opened
+    nested = "<object><p>Fallback one, which is long.</p><object>inner</object> and more of it, as text.</object>"
+    assert main_text(f"<article><p>Kept <svg><text>no</text></svg> as one.</p>{nested}<p>{LONG}</p>")[0] == (
+        f"Kept as one.\n\n{LONG.strip()}"
+    )
+    start = time.process_time()
+    main_text("<object>" * 50000 + "</object>")
+    assert time.process_time() - start < 10
+
+
+def test_pages_of_little_text():
+    assert main_text("<p>Hello</p>")[0] == "Hello"
+    assert main_text("<div>One short sentence.</div>")[0] == "One short sentence."
+    assert main_text("<nav>Menu</nav><p>Hello</p><footer>Us</footer>")[0] == "Hello"
+    assert main_text("<div class='menu'>Home</div><footer><p>Us</p></footer>")[0] == ""
+
+
 def test_pages_without_text():
     assert [main_text(x)[0] for x in (None, "", " \n", "<p>", "<!-- x", "<nav>Menu</nav>")] == [""] * 6
 
