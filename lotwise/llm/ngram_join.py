@@ -34,8 +34,9 @@ from lotwise.sources.staging import stage
 SKETCH_BITS, PART_BITS, FAN_IN = 20, 14, 1024
 # Largest set sizes for which subsets are considered.
 BOUNDARIES = (0, 2, 5, 10, 15, 20, 25, 30, 40, 50, 60, 80, 100, 150, 200, 300, 500, 1000)
-# Bits of a set's parity bitmap. It rules out pairs of up to some thousand shingles.
-PARITY_BITS = 512
+# Bits of a set's parity bitmap, which rules out pairs of up to some thousand shingles; and members
+# of a key that are paired without it, as they are too few to make many pairs.
+PARITY_BITS, FEW = 512, 16
 # Bits of the filter that spares texts without candidates a shuffle; 2 million words at most.
 MAX_FILTER_BITS = 1 << 27
 SLICE_BYTES = 4 << 20
@@ -275,15 +276,24 @@ def open_pairs(
     rows = rows.withColumn("root", F.coalesce("root", "cls"))
     sizes = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
     largest = sizes.groupBy("key").agg(
-        F.count(F.lit(1)).alias("roots"), F.max(F.struct("size", "root")).alias("top")
+        F.count(F.lit(1)).alias("roots"),
+        F.sum("size").alias("members"),
+        F.max(F.struct("size", "root")).alias("top"),
     )
-    keys = largest.filter("roots > 1").select("key", F.col("top.root").alias("top"))
-    rows = stage(rows.join(keys, "key").join(classes.select("cls", "bitmap"), "cls"), "open")
+    keys = largest.filter("roots > 1").select("key", "members", F.col("top.root").alias("top"))
+    rows = stage(rows.join(keys, "key"), "open")
+    many = rows.filter(F.col("members") > FEW).join(classes.select("cls", "bitmap"), "cls")
+    few = _met(rows.filter(F.col("members") <= FEW), percent)
+    found = few.union(_met(stage(many, "open-many"), percent, _even("x", "y", percent)))
+    return found.distinct().join(tested, ["a", "b"], "left_anti")
+
+
+def _met(rows: DataFrame, percent: int, condition: Column | None = None) -> DataFrame:
     outside = rows.filter("root != top").alias("x")
-    apart = F.col("x.root") != F.col("y.root")
-    possible = apart & _possible("x", "y", percent) & _even("x", "y", percent)
-    met = outside.join(rows.alias("y"), "key").filter(possible)
-    return met.select(*_pair("x", "y")).distinct().join(tested, ["a", "b"], "left_anti")
+    possible = (F.col("x.root") != F.col("y.root")) & _possible("x", "y", percent)
+    if condition is not None:
+        possible &= condition
+    return outside.join(rows.alias("y"), "key").filter(possible).select(*_pair("x", "y"))
 
 
 def all_pairs(postings: DataFrame, percent: int) -> DataFrame:
