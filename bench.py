@@ -35,7 +35,7 @@ from lotwise_checks.fixtures import bid_events, fixture_settings  # noqa: E402
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 MEMORY = os.environ.get("BENCH_MEMORY", "8g")
-RUNS = 5
+RUNS = int(os.environ.get("BENCH_RUNS", "5"))
 
 
 def run(df: DataFrame) -> None:
