@@ -12,6 +12,9 @@ one of its own. A template found in several documents is dropped from all but th
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,13 +32,14 @@ VARIABLE = "<*>"
 RANKED = 64
 
 
-def masked(line: Column) -> Column:
-    """A line without outer white space, its tokens with digits made variable.
+def masked(text: Column) -> Column:
+    """A text of any number of lines, its tokens with digits made variable.
 
-    The pattern starts at the start of a token only and never steps back, so it is linear.
+    The pattern starts at the start of a token only and never steps back, so it is linear. It is
+    only searched for in texts that have a digit.
     """
-    token = f"(?<![^{_SPACE}])[^{_SPACE}0-9]*+[0-9][^{_SPACE}]*+"
-    return F.regexp_replace(F.btrim(line, F.lit(SPACE)), token, VARIABLE)
+    token = f"(?<![^{_SPACE}\\n])[^{_SPACE}\\n0-9]*+[0-9][^{_SPACE}\\n]*+"
+    return F.when(text.rlike("[0-9]"), F.regexp_replace(text, token, VARIABLE)).otherwise(text)
 
 
 def tokens(line: Column) -> Column:
@@ -46,8 +50,20 @@ def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n")
 
 
-def _leaf(words: Column, depth: int) -> Column:
-    return F.xxhash64(F.size(words), F.array_join(F.slice(words, 1, depth), " "))
+def _masked_lines(text: Column) -> Column:
+    """The masked lines of a text without outer white space."""
+    return F.transform(_lines(masked(text)), lambda x: F.btrim(x, F.lit(SPACE)))
+
+
+def _even(line: Column) -> Column:
+    """A trimmed line with one space between its tokens."""
+    uneven = reduce(or_, (line.contains(x) for x in ("  ", *SPACE[1:])))
+    return F.when(uneven, F.regexp_replace(line, f"[{_SPACE}]+", " ")).otherwise(line)
+
+
+def _leaf(even: Column, depth: int) -> Column:
+    spaces = F.octet_length(even) - F.octet_length(F.replace(even, F.lit(" "), F.lit("")))
+    return F.xxhash64(spaces, F.substring_index(even, " ", depth))
 
 
 def _signature(line: Column) -> Column:
@@ -56,14 +72,14 @@ def _signature(line: Column) -> Column:
 
 def _signed(rows: DataFrame, depth: int) -> DataFrame:
     """Of every row: place, leaf and signature of each of its lines that are not blank."""
-    line = F.transform(_lines(F.col("_text")), lambda x, i: F.struct(i.alias("pos"), masked(x).alias("m")))
+    line = F.transform(_masked_lines(F.col("_text")), lambda x, i: F.struct(i.alias("pos"), x.alias("m")))
     kept = F.filter(line, lambda x: x["m"] != "")
-    cut = F.transform(kept, lambda x: x.withField("words", tokens(x["m"])))
+    cut = F.transform(kept, lambda x: x.withField("even", _even(x["m"])))
     signed = F.transform(
         cut,
         lambda x: F.struct(
             x["pos"].alias("pos"),
-            _leaf(x["words"], depth).alias("leaf"),
+            _leaf(x["even"], depth).alias("leaf"),
             _signature(x["m"]).alias("sig"),
         ),
     )
@@ -74,9 +90,9 @@ def _leaf_members(rows: DataFrame, signatures: DataFrame, depth: int) -> DataFra
     """The different lines of leaves that have several: ``leaf``, ``sig``, ``words``, ``docs``."""
     leaves = signatures.groupBy("leaf").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
     wanted = signatures.join(leaves, "leaf", "left_semi").select("leaf", "sig", "docs")
-    texts = rows.select(F.explode(F.array_distinct(F.transform(_lines(F.col("_text")), masked))).alias("m"))
-    texts = texts.filter("m != ''").withColumn("words", tokens(F.col("m")))
-    texts = texts.select("m", _leaf(F.col("words"), depth).alias("leaf"))
+    texts = rows.select(F.explode(F.array_distinct(_masked_lines(F.col("_text")))).alias("m"))
+    texts = texts.filter("m != ''").withColumn("even", _even(F.col("m")))
+    texts = texts.select("m", _leaf(F.col("even"), depth).alias("leaf"))
     texts = texts.join(leaves.select("leaf"), "leaf", "left_semi").groupBy("m").agg(F.count(F.lit(1)))
     found = texts.select(_signature(F.col("m")).alias("sig"), tokens(F.col("m")).alias("words"))
     return stage(found.join(wanted, "sig"), "leaf-members")
