@@ -24,6 +24,7 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lotwise.llm.batches import small_batches
 from lotwise.llm.components import connected
 from lotwise.llm.rows import PLACE, located
 from lotwise.llm.shingles import shingle_sets
@@ -85,7 +86,8 @@ def rarity(docs: DataFrame, words: int) -> np.ndarray:
     parts = parts.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(FAN_IN)))
     fields = "part int, counts binary"
     parts = parts.groupBy("part", "_salt").applyInArrow(_summed, fields)
-    found = parts.groupBy("part").applyInArrow(_summed, fields).collect()
+    with small_batches(docs.sparkSession):
+        found = parts.groupBy("part").applyInArrow(_summed, fields).collect()
     counts = np.zeros((1 << (SKETCH_BITS - PART_BITS), 1 << PART_BITS), np.int64)
     for part, own in found:
         counts[part] = np.frombuffer(own, np.int64)
@@ -143,7 +145,8 @@ def signatures(docs: DataFrame, words: int, percent: int, levels) -> DataFrame:
     kind = _id_type(docs)
     fields = f"_id {kind}, {PLACE[0]} string, {PLACE[1]} long, n int, digest binary, prefix array<long>, bitmap array<long>"
     rows = docs.select("_text", "_id", *PLACE)
-    return stage(rows.mapInArrow(_signed(words, percent, levels), fields), "signatures")
+    with small_batches(docs.sparkSession):
+        return stage(rows.mapInArrow(_signed(words, percent, levels), fields), "signatures")
 
 
 def classes_of(signed: DataFrame) -> DataFrame:
@@ -377,7 +380,8 @@ def linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, pe
     x = texts.select(F.col("cls").alias("a"), F.col("text").alias("x"))
     y = texts.select(F.col("cls").alias("b"), F.col("text").alias("y"))
     met = pairs.join(x, "a").join(y, "b").select("x", "y", "a", "b")
-    return stage(met.mapInArrow(_similar(words, percent), "a long, b long"), "links")
+    with small_batches(docs.sparkSession):
+        return stage(met.mapInArrow(_similar(words, percent), "a long, b long"), "links")
 
 
 def _rows(docs: DataFrame, id_col: str, text: str) -> DataFrame:

@@ -25,6 +25,7 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lotwise.llm.batches import small_batches
 from lotwise.sources.staging import stage
 
 CAPACITY = 2048
@@ -198,7 +199,8 @@ def pack_documents(
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text"))
     kind = rows.schema["_id"].dataType.simpleString()
     fields = f"_id {kind}, {PIECE_FIELDS}, ids binary"
-    pieces = stage(rows.mapInArrow(_pieces(path, capacity, keep_ids), fields), "pieces")
+    with small_batches(docs.sparkSession):
+        pieces = stage(rows.mapInArrow(_pieces(path, capacity, keep_ids), fields), "pieces")
     groups = max(1, -(-pieces.count() // PIECES_PER_GROUP))
     place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
     dealt = pieces.withColumn("_group", F.pmod(place, F.lit(groups)))

@@ -1,9 +1,12 @@
+import os
+
 from compare import canonical, duck_rows, spark_rows
 from corpus import SF_DIR, documents, duck
 from pyspark.sql import functions as F
 
 from lotwise.llm import exact_dedup
 from lotwise.llm.exact_dedup import deduplicate, keep_distinct
+from lotwise.sources.staging import stage
 
 ROWS = [(1, "a"), (2, "a"), (2, "a"), (3, "b"), (None, "a"), (4, None), (5, ""), (3, "zz"), (6, "a ")]
 WANTED = sorted(
@@ -33,6 +36,25 @@ def test_state_carries_over_micro_batches_and_bytes_decide(spark):
     assert rows_of(deduplicate(docs, digest=by_length, batch_bytes=1)) == WANTED
 
 
+def test_a_small_ledger_is_one_micro_batch(spark, monkeypatch):
+    """Each micro-batch opens all stores anew; a ledger with enough bytes still takes several."""
+    paths = {}
+
+    def path_of(spark, name, own=exact_dedup.staged_path):
+        return paths.setdefault(name, own(spark, name))
+
+    monkeypatch.setattr(exact_dedup, "staged_path", path_of)
+    texts = spark.range(40000).select(F.col("id").alias("doc_id"), F.md5(F.col("id").cast("string")).alias("text"))
+    docs = stage(texts.repartition(16), "many-files")
+    found = []
+    for least in (exact_dedup.LEAST_BYTES, 1):
+        monkeypatch.setattr(exact_dedup, "LEAST_BYTES", least)
+        assert deduplicate(docs).filter("kept").count() == 40000
+        found.append(len([x for x in os.listdir(f"{paths['dedup-state']}/commits") if x.isdigit()]))
+        paths.clear()
+    assert found[0] == 1 and found[1] >= 2
+
+
 def test_kept_rows_have_the_columns_of_the_input(spark):
     docs = spark.createDataFrame(ROWS, "doc_id long, text string")
     docs = docs.withColumns({"keep_id": F.lit("x"), "_digest": F.lit(1), "kept": F.lit(None).cast("int")})
