@@ -163,6 +163,32 @@ def test_a_long_text(spark):
     assert got == {0: text, 1: "z"}
 
 
+def test_masking_by_line_equals_masking_the_text(spark):
+    texts = [None, "", "\n", "no number\n  here \t", "a1 b\n\x0bc 22 \nd\n 3", "x\ty 7\r\nz  9z", "\u0663 \U0001d7d8\ne", "ends 1"]
+    rows = documents(spark, texts).select(F.col("text").alias("_text"))
+    whole = F.transform(line_dedup._lines(line_dedup.masked(F.col("_text"))), lambda x: F.btrim(x, F.lit(line_dedup.SPACE)))
+    for r in rows.select(whole.alias("a"), line_dedup._masked_lines(F.col("_text")).alias("b")).collect():
+        assert r["a"] == r["b"]
+
+
+def test_the_words_of_a_line_are_fetched_once(spark, monkeypatch):
+    """From the first row that has it: the lines themselves are not grouped or dealt by leaf."""
+    plans = {}
+
+    def staged(df, name, own=line_dedup.stage):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        out = own(df, name)
+        plans[name, "rows"] = out
+        return out
+
+    monkeypatch.setattr(line_dedup, "stage", staged)
+    texts = ["the one line here\nthe one line there", "the one line here\nalone"] * 20 + [None, "the one line here"]
+    cleaned(spark, texts)
+    assert "keys=[m#" not in plans["leaf-members"]
+    rows = [(r["words"], r["docs"]) for r in plans["leaf-members", "rows"].collect()]
+    assert sorted(rows) == [("the one line here".split(), 41), ("the one line there".split(), 20)]
+
+
 def test_the_path_has_no_python(spark):
     plan = line_dedup.query(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
